@@ -7,10 +7,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabml.operators import clean as cl
+from tabml.operators import curves as cv
 from tabml.operators import evaluate as ev
+from tabml.operators import profile as pf
+from tabml.operators import report as rp
+from tabml.operators import scale as sc
 from tabml.operators import split as sp
 from tabml.sources import bindings as b
+from tabml.sources.tables import read_table, scan_labelled, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,3 +92,232 @@ def q_stratified_kfold(spark, d):
 @query("split_balance")
 def q_split_balance(spark, d):
     return sp.split_balance(sp.stratified_split(b.feat(spark, d)))
+
+
+@query("cv_fold_layout")
+def q_cv_fold_layout(spark, d):
+    return sp.cv_fold_layout(b.feat(spark, d), n_samples=100, k=5)
+
+
+@query("learning_curve_sizes")
+def q_learning_curve_sizes(spark, d):
+    return sp.learning_curve_subsets(b.folded(spark, d), k=5)
+
+
+@query("permute_column")
+def q_permute_column(spark, d):
+    f = b.feat(spark, d).select("id", F.col("l_extendedprice").alias("original"),
+                                F.col("l_extendedprice").alias("permuted"))
+    return sp.permute_column(f, "permuted", seed=b.SEED, repeat=0)
+
+
+@query("union_splits")
+def q_union_splits(spark, d):
+    s = sp.stratified_split(b.feat(spark, d)).select("id", "split", "label")
+    return s.where("split = 'train'").unionByName(s.where("split = 'test'"))
+
+
+@query("join_predictions")
+def q_join_predictions(spark, d):
+    return b.documents_labelled(spark, d)
+
+
+# ------------------------------------------------------------ scan / clean
+
+RAW_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
+
+
+@query("scan_labelled")
+def q_scan_labelled(spark, d):
+    return scan_labelled(spark, table_path(d, "lineitem"), fmt="parquet", columns=RAW_COLS)
+
+
+def _dirty(spark, d):
+    """A labelled frame with an id, real gaps and a text class."""
+    f = b.feat_raw(spark, d)
+    return f.select("id", "l_quantity", "l_discount", "l_tax",
+                    F.col("l_returnflag").alias("diagnosis"))
+
+
+@query("clean_table")
+def q_clean_table(spark, d):
+    return cl.clean_table(_dirty(spark, d), mapping={"R": 1, "A": 0})
+
+
+@query("feature_select")
+def q_feature_select(spark, d):
+    return cl.feature_select(b.feat(spark, d).select(*b.FEATURES, "label"))
+
+
+@query("label_map")
+def q_label_map(spark, d):
+    f = b.feat_raw(spark, d).select("id", "l_returnflag")
+    return cl.map_label(f, "l_returnflag", {"R": 1, "A": 0}, out="label")
+
+
+@query("label_invert")
+def q_label_invert(spark, d):
+    return cl.invert_label(b.feat(spark, d).select("id", "label"), "label", out="label_inverted")
+
+
+@query("impute_median")
+def q_impute_median(spark, d):
+    f = b.feat_raw(spark, d).select("id", *b.FEATURES)
+    return cl.impute_median(f, exclude=["id"])
+
+
+@query("dedup_rows")
+def q_dedup_rows(spark, d):
+    return cl.dedup_rows(b.dup_view(spark, d))
+
+
+@query("dedup_report")
+def q_dedup_report(spark, d):
+    return cl.dedup_report(b.dup_view(spark, d))
+
+
+# ------------------------------------------------------------ profile
+
+@query("dataset_summary")
+def q_dataset_summary(spark, d):
+    return pf.dataset_summary(b.feat_raw(spark, d).drop("l_returnflag"))
+
+
+@query("class_distribution")
+def q_class_distribution(spark, d):
+    return pf.class_distribution(b.feat_raw(spark, d))
+
+
+@query("missing_profile")
+def q_missing_profile(spark, d):
+    return pf.missing_profile(b.feat_raw(spark, d), b.FEATURES + ["label"])
+
+
+@query("missing_cells")
+def q_missing_cells(spark, d):
+    return pf.missing_cells(b.feat_raw(spark, d), b.FEATURES + ["label"])
+
+
+@query("feature_ranges")
+def q_feature_ranges(spark, d):
+    return pf.feature_ranges(b.feat_raw(spark, d), b.FEATURES)
+
+
+@query("box_stats")
+def q_box_stats(spark, d):
+    return pf.box_stats(b.feat_raw(spark, d), b.FEATURES)
+
+
+@query("box_outliers")
+def q_box_outliers(spark, d):
+    return pf.box_outliers(b.feat_raw(spark, d), b.FEATURES)
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark, d):
+    return pf.correlation_matrix(b.feat_raw(spark, d), b.FEATURES + ["label"])
+
+
+@query("correlation_lower")
+def q_correlation_lower(spark, d):
+    return pf.correlation_lower(b.feat_raw(spark, d), b.FEATURES + ["label"])
+
+
+# ------------------------------------------------------------ scaling
+
+def _scaled(spark, d, method):
+    f = b.folded(spark, d).select("id", "split", *b.FEATURES)
+    out = sc.scale_split(f, b.FEATURES, method)
+    return out.select("id", "split", *[F.round(F.col(c), 6).alias(c) for c in b.FEATURES])
+
+
+@query("scale_standard")
+def q_scale_standard(spark, d):
+    return _scaled(spark, d, "standard")
+
+
+@query("scale_robust")
+def q_scale_robust(spark, d):
+    return _scaled(spark, d, "robust")
+
+
+@query("scale_power")
+def q_scale_power(spark, d):
+    return _scaled(spark, d, "power")
+
+
+# ------------------------------------------------------------ reports
+
+@query("model_leaderboard")
+def q_model_leaderboard(spark, d):
+    return rp.model_leaderboard(b.metrics(spark, d))
+
+
+@query("metric_ranks")
+def q_metric_ranks(spark, d):
+    return rp.metric_ranks(b.metrics(spark, d))
+
+
+@query("top3_models")
+def q_top3_models(spark, d):
+    return rp.top_models(b.metrics(spark, d), 3)
+
+
+@query("best_worst_model")
+def q_best_worst_model(spark, d):
+    return rp.best_worst_model(b.metrics(spark, d))
+
+
+@query("overall_stats")
+def q_overall_stats(spark, d):
+    return rp.overall_stats(b.metrics(spark, d))
+
+
+@query("radar_metrics")
+def q_radar_metrics(spark, d):
+    return rp.radar_metrics(b.metrics(spark, d))
+
+
+@query("time_vs_accuracy")
+def q_time_vs_accuracy(spark, d):
+    return rp.time_vs_accuracy(b.metrics(spark, d))
+
+
+@query("format_metrics")
+def q_format_metrics(spark, d):
+    return rp.format_metrics(b.metrics(spark, d))
+
+
+@query("confidence_band")
+def q_confidence_band(spark, d):
+    return rp.prediction_table(b.preds(spark, d).where("split = 'test'"))
+
+
+@query("consensus_vote")
+def q_consensus_vote(spark, d):
+    return rp.consensus_vote(b.preds(spark, d).where("split = 'test'"))
+
+
+@query("importance_topk_pivot")
+def q_importance_topk_pivot(spark, d):
+    """Importance stand-in: |corr(feature, label)| inside each return-flag
+    segment (the segments play the models)."""
+    imp = pf.segment_importance(b.feat(spark, d, extra=["l_returnflag"]), b.FEATURES,
+                                "l_returnflag")
+    return rp.importance_topk_pivot(imp, k=10, models=["A", "N", "R"])
+
+
+@query("learning_curve_agg")
+def q_learning_curve_agg(spark, d):
+    return rp.learning_curve_agg(_scorecard_curve_scores(spark, d))
+
+
+@query("overfit_gap")
+def q_overfit_gap(spark, d):
+    return rp.overfit_gap(rp.learning_curve_agg(_scorecard_curve_scores(spark, d)))
+
+
+def _scorecard_curve_scores(spark, d):
+    fo = b.folded(spark, d, k=5)
+    return cv.fixed_learning_scores(
+        fo, 5, lambda df: b.scorecard_preds(df, keep=[c for c in df.columns if c not in b.FEATURES]))

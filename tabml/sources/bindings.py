@@ -41,13 +41,13 @@ def _id_expr():
     return F.concat_ws("|", *parts)
 
 
-def feat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem", ID_PARTS + FEATURES)
+def feat(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem", ID_PARTS + FEATURES + list(extra))
     revenue = F.col("l_quantity") * F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
     return (li.withColumn("id", _id_expr())
               .withColumn("h", md5_key("id", seed=SEED))
               .withColumn("label", (revenue > F.lit(LABEL_THRESHOLD)).cast("int"))
-              .select("id", "h", *FEATURES, "label"))
+              .select("id", "h", *FEATURES, "label", *extra))
 
 
 def feat_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def folded(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
     return split_and_folds(feat(spark, sf_dir), k=k)
 
 
-def scorecard_preds(df: DataFrame) -> DataFrame:
+def scorecard_preds(df: DataFrame, keep=("id", "split", "label")) -> DataFrame:
     """Long predictions of the fixed scorecards over a split frame. One scan,
     four rows per input row (inline of a literal array of structs)."""
     price = F.col("l_extendedprice") / F.lit(105000.0)
@@ -87,8 +87,9 @@ def scorecard_preds(df: DataFrame) -> DataFrame:
                     card("quantity", qty, qty >= 0.5),
                     card("blend", blend, blend >= 0.5),
                     card("hard", null, F.col("l_quantity") >= 25))
-    return df.select("id", "split", "label", F.inline(cards)).select(
-        "model", "id", "split", "label", "score", "prediction")
+    keep = list(keep)
+    return df.select(*keep, F.inline(cards)).select(
+        "model", *keep, "score", "prediction")
 
 
 def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,3 +104,25 @@ def model_order() -> dict:
     """Insertion order of the models (the reference keeps results in a list
     and breaks ties by that order)."""
     return {m: i for i, (m, _) in enumerate(SCORECARDS)}
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-model metrics of the scorecards, with their insertion order."""
+    from tabml.operators.evaluate import model_metrics
+    from tabml.operators.report import with_order
+    return with_order(model_metrics(preds(spark, sf_dir), training_times()), model_order())
+
+
+def documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions that arrive separately from the labels: a length rule on
+    ``documents`` joined to ``labels`` on the key (an equi-join; AQE picks a
+    broadcast only when the runtime size of a side allows it)."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "n_chars"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    scored = docs.select("doc_id", "lang",
+                         (F.col("n_chars") >= F.lit(DOC_LENGTH_RULE)).cast("int").alias("prediction"))
+    return (scored.join(labels, on="doc_id", how="inner")
+                  .select("doc_id", "lang", F.col("quality").alias("label"), "prediction"))
+
+
+DOC_LENGTH_RULE = 2000
