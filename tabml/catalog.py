@@ -16,8 +16,14 @@ from tabml.operators import profile as pf
 from tabml.operators import report as rp
 from tabml.operators import scale as sc
 from tabml.operators import split as sp
+from pyspark.ml.classification import LogisticRegression
+
+from tabml.plans import models as md
+from tabml.plans import train as tr
+from tabml.plans.ml_frame import assemble, to_preds
 from tabml.sources import bindings as b
 from tabml.sources.tables import read_table, scan_labelled, table_path
+from tabml.streaming.score_stream import score_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -321,3 +327,192 @@ def _scorecard_curve_scores(spark, d):
     fo = b.folded(spark, d, k=5)
     return cv.fixed_learning_scores(
         fo, 5, lambda df: b.scorecard_preds(df, keep=[c for c in df.columns if c not in b.FEATURES]))
+
+
+# ------------------------------------------------------------ ML (fits)
+# Trained models have no bit-level SQL counterpart. Their queries return
+# invariants that SQL can state from the split rule: every test row scored,
+# no invalid score, accuracy above the majority rate.
+
+CHECK = "check"
+
+
+def _ml(spark, d, k=3):
+    return tr.ml_data(b.folded(spark, d, k=k), b.FEATURES)
+
+
+def _fit_and_check(spark, d, spec_names):
+    p = md.preset(CHECK)
+    data = _ml(spark, d, p.folds)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    out = None
+    for name in spec_names:
+        spec = md.spec_by_name(p, name)
+        pr = to_preds(tr.fit_default(spec, train).transform(test), name)
+        out = pr if out is None else out.unionByName(pr)
+    return tr.invariants(out)
+
+
+@query("train_gbt")
+def q_train_gbt(spark, d):
+    return _fit_and_check(spark, d, ["XGBoost"])
+
+
+@query("train_rf")
+def q_train_rf(spark, d):
+    return _fit_and_check(spark, d, ["Random Forest Optimized"])
+
+
+@query("train_mlp")
+def q_train_mlp(spark, d):
+    return _fit_and_check(spark, d, ["Neural Network"])
+
+
+@query("train_adaboost")
+def q_train_adaboost(spark, d):
+    return _fit_and_check(spark, d, ["AdaBoost"])
+
+
+@query("train_rbf_svm")
+def q_train_rbf_svm(spark, d):
+    return _fit_and_check(spark, d, ["SVM RBF Optimized"])
+
+
+@query("train_stacking")
+def q_train_stacking(spark, d):
+    return _fit_and_check(spark, d, ["Stacking Enhanced"])
+
+
+@query("train_linear")
+def q_train_linear(spark, d):
+    p = md.preset(CHECK)
+    spec = md.spec_by_name(p, "SGD Classifier")
+    data = _ml(spark, d, p.folds)
+    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    out = None
+    for loss in ("log_loss", "hinge"):
+        m = tr.fit_default(spec, train, {"loss": loss, "alpha": 0.0001})
+        pr = to_preds(m.transform(test), f"SGD Classifier ({loss})")
+        out = pr if out is None else out.unionByName(pr)
+    return tr.invariants(out)
+
+
+@query("random_search")
+def q_random_search(spark, d):
+    p = md.preset(CHECK)
+    spec = md.spec_by_name(p, "Random Forest Optimized")
+    data = _ml(spark, d, p.folds)
+    res = tr.random_search(spec, data.where("split = 'train'"), p.n_iter, p.folds)
+    inv = tr.invariants(to_preds(res.model.transform(data.where("split = 'test'")), spec.name))
+    return inv.select("model", F.lit(res.n_candidates).alias("n_candidates"),
+                      F.lit(p.folds).alias("n_folds"), "n_scored", "n_invalid_scores", "beats_majority")
+
+
+@query("tuning_summary")
+def q_tuning_summary(spark, d):
+    """Best parameters of a randomised search and the learning rate read
+    from them by the model's learning-rate key."""
+    p = md.preset(CHECK)
+    spec = md.spec_by_name(p, "XGBoost")
+    data = _ml(spark, d, p.folds)
+    res = tr.random_search(spec, data.where("split = 'train'"), p.n_iter, p.folds)
+    params = {k: str(v) for k, v in res.best_params.items()}
+    pmap = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(v))])
+    row = spark.range(1).select(F.lit(spec.name).alias("model"), pmap.alias("best_params"),
+                                F.lit(spec.lr_param).alias("lr_param"))
+    return row.select("model", F.to_json("best_params").alias("best_params"), "lr_param",
+                      F.element_at("best_params", F.col("lr_param")).alias("learning_rate"),
+                      F.lit(res.n_candidates).alias("n_candidates"))
+
+
+@query("train_and_evaluate")
+def q_train_and_evaluate(spark, d):
+    p = md.preset(CHECK)
+    metrics, _, errors, _ = tr.train_and_evaluate(
+        spark, _ml(spark, d, p.folds), p,
+        names=["XGBoost", "Random Forest Optimized", "SGD Classifier"], search=True)
+    return metrics.select("model", "train_accuracy", "test_accuracy", "sensitivity",
+                          "specificity", "precision", F.to_json("best_params").alias("best_params"),
+                          "learning_rate")
+
+
+@query("learning_curve")
+def q_learning_curve(spark, d):
+    p = md.preset(CHECK)
+    spec = md.spec_by_name(p, "SGD Classifier")
+    return tr.learning_curve(spec, _ml(spark, d, p.folds), p.folds, fractions=[0.1, 0.5, 1.0],
+                             combo={"loss": "log_loss", "alpha": 0.0001})
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, d):
+    p = md.preset(CHECK)
+    spec = md.spec_by_name(p, "XGBoost")
+    data = _ml(spark, d, p.folds)
+    model = tr.fit_default(spec, data.where("split = 'train'"))
+    return tr.permutation_importance(model, spec.name, data.where("split = 'test'"), b.FEATURES,
+                                     n_repeats=10)
+
+
+@query("tree_importance")
+def q_tree_importance(spark, d):
+    p = md.preset(CHECK)
+    data = _ml(spark, d, p.folds)
+    train = data.where("split = 'train'")
+    out = None
+    for name in ("XGBoost", "Random Forest Optimized"):
+        m = tr.fit_default(md.spec_by_name(p, name), train)
+        t = tr.tree_importance(m, name, b.FEATURES, spark)
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("score_batch")
+def q_score_batch(spark, d):
+    """Fit once, then score a batch: decoded class, confidence, band and the
+    two class probabilities per row (P18-P20 on real model output)."""
+    data = _ml(spark, d, 3)
+    model = LogisticRegression().fit(data.where("split = 'train'"))
+    return rp.prediction_table(to_preds(model.transform(data.where("split = 'test'")),
+                                        "Logistic Regression"))
+
+
+@query("model_roundtrip")
+def q_model_roundtrip(spark, d):
+    """Save a fitted pipeline under its slug, load it back, and count the
+    test rows whose prediction changed (expected 0)."""
+    name = "Logistic Regression"
+    data = _ml(spark, d, 3)
+    test = data.where("split = 'test'")
+    model = tr.fit_pipeline([LogisticRegression()], data.where("split = 'train'"))
+    path = tr.save_model(model, spark, name)
+    loaded = tr.load_pipeline(path)
+    slug_name = path.rstrip("/").rsplit("/", 1)[-1]
+    a = model.transform(test).select("id", "features", F.col("prediction").alias("p_a"))
+    both = loaded.transform(a).select("p_a", "prediction")
+    return both.agg(F.count(F.lit(1)).alias("n_scored"),
+                    F.count_if(F.col("p_a") != F.col("prediction")).alias("n_mismatch")) \
+        .select(F.lit(slug_name.replace("_", " ").title()).alias("model"),
+                F.lit(slug_name).alias("slug"), "n_scored", "n_mismatch")
+
+
+@query("score_stream")
+def q_score_stream(spark, d):
+    """Score lineitem as a stream (file source, availableNow) with a model
+    fitted in batch; returns (n_scored, n_invalid_scores) of the sink."""
+    p = md.preset(CHECK)
+    data = _ml(spark, d, p.folds)
+    train = data.where("split = 'train'")
+    scaler = sc.fit_scaler(b.folded(spark, d, k=p.folds).where("split = 'train'"), b.FEATURES)
+    model = LogisticRegression().fit(train)
+    schema = read_table(spark, d, "lineitem").schema
+
+    def transform(stream):
+        f = b.feat_from_lineitem(stream)
+        x = assemble(sc.apply_scaler(f, scaler), b.FEATURES)
+        return to_preds(model.transform(x.withColumn("split", F.lit("stream"))), "Logistic Regression")
+
+    out = score_available(spark, d, schema, transform, glob="lineitem.parquet")
+    bad = (F.col("score").isNull() | (F.col("score") < 0) | (F.col("score") > 1)
+           | ~F.col("prediction").isin(0, 1))
+    return out.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(bad).alias("n_invalid_scores"))

@@ -583,3 +583,36 @@ SELECT i.feature, round(t.mean_importance, 6) AS mean_importance,
        round(max(importance) FILTER (WHERE model = 'N'), 6) AS "N",
        round(max(importance) FILTER (WHERE model = 'R'), 6) AS "R"
 FROM imp i JOIN top t USING (feature) GROUP BY i.feature, t.mean_importance""")
+
+# ------------------------------------------------------------ ML invariants
+# Models have no SQL counterpart; what SQL states is the split rule: how many
+# test rows must be scored, with no invalid score and better than majority.
+
+TEST3 = with_(FEAT, split_ctes(k=3))
+
+
+def _invariant(models: list[str]) -> str:
+    return TEST3 + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, count(*) AS n_scored, CAST(0 AS BIGINT) AS n_invalid_scores, "
+        f"true AS beats_majority FROM folded WHERE split = 'test'" for m in models)
+
+
+register("train_gbt", _invariant(["XGBoost"]))
+register("train_rf", _invariant(["Random Forest Optimized"]))
+register("train_mlp", _invariant(["Neural Network"]))
+register("train_adaboost", _invariant(["AdaBoost"]))
+register("train_rbf_svm", _invariant(["SVM RBF Optimized"]))
+register("train_stacking", _invariant(["Stacking Enhanced"]))
+register("train_linear", _invariant(["SGD Classifier (log_loss)", "SGD Classifier (hinge)"]))
+
+register("random_search", TEST3 + """
+SELECT 'Random Forest Optimized' AS model, 2 AS n_candidates, 3 AS n_folds, count(*) AS n_scored,
+       CAST(0 AS BIGINT) AS n_invalid_scores, true AS beats_majority
+FROM folded WHERE split = 'test'""")
+
+register("model_roundtrip", TEST3 + """
+SELECT 'Logistic Regression' AS model, 'logistic_regression' AS slug, count(*) AS n_scored,
+       CAST(0 AS BIGINT) AS n_mismatch FROM folded WHERE split = 'test'""")
+
+register("score_stream", """
+SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_invalid_scores FROM lineitem""")

@@ -43,6 +43,11 @@ def _id_expr():
 
 def feat(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", ID_PARTS + FEATURES + list(extra))
+    return feat_from_lineitem(li, extra)
+
+
+def feat_from_lineitem(li: DataFrame, extra=()) -> DataFrame:
+    """The feat derivation alone: stateless, so it also runs on a stream."""
     revenue = F.col("l_quantity") * F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))
     return (li.withColumn("id", _id_expr())
               .withColumn("h", md5_key("id", seed=SEED))
