@@ -182,3 +182,33 @@ def permute_column(df: DataFrame, column: str, id_col: str = "id", seed: int = 4
     return (rows.join(vals, on="__r")
                 .withColumn(column, F.col("__pv"))
                 .drop("__ha", "__r", "__pv"))
+
+
+def permuted_copies(df: DataFrame, features, n_repeats: int, id_col: str = "id",
+                    seed: int = 42, digits: int = 4) -> DataFrame:
+    """All (feature, repeat) permuted copies of ``df`` in one plan: for copy
+    (f, r) column f holds the values of f permuted exactly as
+    ``permute_column(df, f, repeat=r)`` does; other columns are unchanged.
+    Two bucketed ranks (rows per repeat, values per (feature, repeat)) and
+    one equi-join on (feature, repeat, rank); d x R x n rows, no union of
+    per-copy plans."""
+    features = list(features)
+    reps = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat")
+    rows = df.select("*", reps)
+    rows = rows.withColumn("__ha", F.md5(F.concat(F.lit(f"{seed}:a"), F.col("repeat").cast("string"),
+                                                  F.lit("|"), F.col(id_col).cast("string"))))
+    rows = bucketed_cumsum(rows, ["repeat"], "__ha", hex_bucket("__ha", digits),
+                           {"__r": F.lit(1).cast("bigint")}).drop("__ha")
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("__pv"))
+                      for f in features])
+    vals = df.select(id_col, F.inline(pairs)).select("*", reps)
+    vals = vals.withColumn("__hb", F.md5(F.concat(
+        F.lit(f"{seed}:b"), F.col("repeat").cast("string"), F.lit(":"), F.col("feature"),
+        F.lit("|"), F.col(id_col).cast("string"))))
+    vals = bucketed_cumsum(vals, ["feature", "repeat"], "__hb", hex_bucket("__hb", digits),
+                           {"__r": F.lit(1).cast("bigint")}).select("feature", "repeat", "__r", "__pv")
+    copies = rows.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    out = copies.join(vals, on=["feature", "repeat", "__r"])
+    out = out.withColumns({f: F.when(F.col("feature") == f, F.col("__pv")).otherwise(F.col(f))
+                           for f in features})
+    return out.drop("__r", "__pv")

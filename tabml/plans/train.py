@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tabml.operators.evaluate import model_metrics
 from tabml.operators.scale import scale_split
-from tabml.operators.split import fold_train_ranks, learning_curve_sizes, permute_column
+from tabml.operators.split import fold_train_ranks, learning_curve_sizes, permuted_copies
 from tabml.plans.ml_frame import assemble, feature_dim, to_preds
 from tabml.plans.models import ModelSpec, Preset
 from tabml.session import work_dir
@@ -213,26 +213,20 @@ def tree_importance(model, name: str, names: list[str], spark: SparkSession) ->
 
 def permutation_importance(model, name: str, test: DataFrame, features: list[str],
                            n_repeats: int = 10, seed: int = SEED) -> DataFrame:
-    """Baseline accuracy minus accuracy with one feature permuted, averaged
-    over repeats: all (feature, repeat) copies of the test rows are built
-    lazily (seeded distributed permutation per copy), assembled and scored
-    in ONE transform, then reduced by a grouped aggregate."""
+    """Baseline accuracy minus accuracy with one feature permuted, mean and
+    std over repeats. All (feature, repeat) copies of the test rows are built
+    in one plan (``permuted_copies``), assembled and scored in ONE transform,
+    then reduced by a grouped aggregate."""
     base = test.select("id", "label", *features)
-    copies = None
-    for f in features:
-        for r in range(n_repeats):
-            c = permute_column(base, f, seed=seed, repeat=r) \
-                .withColumn("feature", F.lit(f)).withColumn("repeat", F.lit(r))
-            copies = c if copies is None else copies.unionByName(c)
+    copies = permuted_copies(base, features, n_repeats, seed=seed)
     scored = model.transform(assemble(copies, features))
     per = scored.groupBy("feature", "repeat").agg(
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("acc"))
     baseline = model.transform(assemble(base, features)).agg(
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("base")).first()["base"]
-    joined = per.withColumn("base", F.lit(baseline))
-    return joined.groupBy("feature").agg(
-        F.avg(F.col("base") - F.col("acc")).alias("importance"),
-        F.stddev_pop(F.col("base") - F.col("acc")).alias("importance_std")) \
+    drop = F.lit(baseline) - F.col("acc")
+    return per.groupBy("feature").agg(F.avg(drop).alias("importance"),
+                                      F.stddev_pop(drop).alias("importance_std")) \
         .select(F.lit(name).alias("model"), "feature", "importance", "importance_std")
 
 

@@ -30,6 +30,9 @@ def get_spark(master: str | None = None, app: str = "tabml",
         builder = builder.master(master)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("TABML_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
