@@ -39,41 +39,41 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     g = list(group_cols)
     keys = g + ["column"]
     vc = (unpivot_values(df, cols, g)
-          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")))
-    stats = vc.groupBy(*keys).agg(F.sum("cnt").alias("n"),
-                                  F.min("value").alias("lo"), F.max("value").alias("hi"))
+          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__cnt")))
+    stats = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"),
+                                  F.min("value").alias("__lo"), F.max("value").alias("__hi"))
     # stats has one row per (group, column): bounded by the caller, broadcast.
-    vb = (vc.join(F.broadcast(stats.select(*keys, "lo", "hi")), on=keys)
-            .withColumn("bucket", equal_width_bucket("value", "lo", "hi", buckets))
-            .drop("lo", "hi"))
-    wb = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bt = (vb.groupBy(*keys, "bucket").agg(F.sum("cnt").alias("bcnt"))
-            .withColumn("before", F.coalesce(F.sum("bcnt").over(wb), F.lit(0))))
+    vb = (vc.join(F.broadcast(stats.select(*keys, "__lo", "__hi")), on=keys)
+            .withColumn("__bucket", equal_width_bucket("value", "__lo", "__hi", buckets))
+            .drop("__lo", "__hi"))
+    wb = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bt = (vb.groupBy(*keys, "__bucket").agg(F.sum("__cnt").alias("__bcnt"))
+            .withColumn("__before", F.coalesce(F.sum("__bcnt").over(wb), F.lit(0))))
 
     plist = F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p"))
                       for i, p in enumerate(probs)])
     targets = (stats.select(*keys, "n", F.inline(plist))
-               .withColumn("pos", F.col("p") * (F.col("n") - 1).cast("double"))
-               .withColumn("k0", F.floor("pos").cast("bigint"))
-               .withColumn("k1", F.ceil("pos").cast("bigint")))
-    ranks = targets.select(*keys, "p_idx", F.explode(F.array("k0", "k1")).alias("k")).distinct()
+               .withColumn("__pos", F.col("p") * (F.col("n") - 1).cast("double"))
+               .withColumn("__k0", F.floor("__pos").cast("bigint"))
+               .withColumn("__k1", F.ceil("__pos").cast("bigint")))
+    ranks = targets.select(*keys, "p_idx", F.explode(F.array("__k0", "__k1")).alias("__k")).distinct()
 
     hit = (ranks.join(bt, on=keys)
-                .where((F.col("before") <= F.col("k")) & (F.col("k") < F.col("before") + F.col("bcnt")))
-                .select(*keys, "bucket", "k"))
-    cand_buckets = hit.select(*keys, "bucket").distinct()
-    wr = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cand = (vb.join(F.broadcast(cand_buckets), on=keys + ["bucket"])
-              .join(bt.select(*keys, "bucket", "before"), on=keys + ["bucket"])
-              .withColumn("end", F.col("before") + F.sum("cnt").over(wr))
-              .withColumn("start", F.col("end") - F.col("cnt")))
-    picked = (hit.join(cand, on=keys + ["bucket"])
-                 .where((F.col("start") <= F.col("k")) & (F.col("k") < F.col("end")))
-                 .select(*keys, "k", "value"))
-    v0 = picked.withColumnRenamed("k", "k0").withColumnRenamed("value", "v0")
-    v1 = picked.withColumnRenamed("k", "k1").withColumnRenamed("value", "v1")
-    res = (targets.join(v0, on=keys + ["k0"]).join(v1, on=keys + ["k1"])
-           .withColumn("value", F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("pos") - F.col("k0"))))
+                .where((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__bcnt")))
+                .select(*keys, "__bucket", "__k"))
+    cand_buckets = hit.select(*keys, "__bucket").distinct()
+    wr = Window.partitionBy(*keys, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    cand = (vb.join(F.broadcast(cand_buckets), on=keys + ["__bucket"])
+              .join(bt.select(*keys, "__bucket", "__before"), on=keys + ["__bucket"])
+              .withColumn("__end", F.col("__before") + F.sum("__cnt").over(wr))
+              .withColumn("__start", F.col("__end") - F.col("__cnt")))
+    picked = (hit.join(cand, on=keys + ["__bucket"])
+                 .where((F.col("__start") <= F.col("__k")) & (F.col("__k") < F.col("__end")))
+                 .select(*keys, "__k", "value"))
+    v0 = picked.withColumnRenamed("__k", "__k0").withColumnRenamed("value", "__v0")
+    v1 = picked.withColumnRenamed("__k", "__k1").withColumnRenamed("value", "__v1")
+    res = (targets.join(v0, on=keys + ["__k0"]).join(v1, on=keys + ["__k1"])
+           .withColumn("value", F.col("__v0") + (F.col("__v1") - F.col("__v0")) * (F.col("__pos") - F.col("__k0"))))
     return res.select(*keys, "p_idx", "p", "n", "value")
 
 

@@ -33,10 +33,13 @@ DEFAULT_NUMERIC_BUCKETS = 1 << 14
 def bucketed_cumsum(df: DataFrame, group_cols: Sequence[str], order_col: str,
                     bucket: Column, values: dict[str, Column],
                     descending: bool = False, inclusive: bool = True,
-                    tiebreak: Sequence[str] = ()) -> DataFrame:
+                    tiebreak: Sequence[str] = (), return_totals: bool = False):
     """Add running sums ``values`` (name -> expression) over ``order_col``
     within ``group_cols``. ``bucket`` must be non-decreasing in ``order_col``.
-    ``inclusive=False`` gives the sum over strictly preceding rows."""
+    ``inclusive=False`` gives the sum over strictly preceding rows. With
+    ``return_totals`` also returns the per-(group, bucket) totals table
+    (columns ``<name>_total``), so callers can derive group totals from it
+    without another pass over the data."""
     g = list(group_cols)
     tmp = df.withColumn("__b", bucket)
     for name, expr in values.items():
@@ -56,15 +59,18 @@ def bucketed_cumsum(df: DataFrame, group_cols: Sequence[str], order_col: str,
     for n in values:
         out = out.withColumn(n, F.col(f"__o_{n}") + F.coalesce(F.sum(f"__v_{n}").over(wr), F.lit(0)))
     drop = ["__b"] + [f"__v_{n}" for n in values] + [f"__o_{n}" for n in values]
-    return out.drop(*drop)
+    out = out.drop(*drop)
+    if return_totals:
+        return out, totals.select(*g, *[F.col(f"__t_{n}").alias(f"{n}_total") for n in values])
+    return out
 
 
 def hash_rank(df: DataFrame, group_cols: Sequence[str], hash_col: str,
-              out: str = "rn", digits: int = DEFAULT_HEX_DIGITS) -> DataFrame:
+              out: str = "rn", digits: int = DEFAULT_HEX_DIGITS, return_totals: bool = False):
     """Exact 1-based ``row_number() over (partition by group order by hash)``
     for a uniformly distributed md5 hex key."""
     return bucketed_cumsum(df, group_cols, hash_col, hex_bucket(hash_col, digits),
-                           {out: F.lit(1).cast("bigint")})
+                           {out: F.lit(1).cast("bigint")}, return_totals=return_totals)
 
 
 def equal_width_bucket(x, lo, hi, buckets: int = DEFAULT_NUMERIC_BUCKETS) -> Column:

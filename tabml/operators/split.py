@@ -35,10 +35,15 @@ def _idiv(a: Column, b: Column) -> Column:
 
 def class_allocation(df: DataFrame, label_col: str = "label", test_size: float = 0.2) -> DataFrame:
     """(label, n_c, n_train_c, n_test_c, train_offset) -- one row per class."""
-    frac = Fraction(test_size).limit_denominator(1_000_000)
-    num, den = frac.numerator, frac.denominator
     cls = (df.where(F.col(label_col).isNotNull())
              .groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_c")))
+    return allocation_from_counts(cls, test_size)
+
+
+def allocation_from_counts(cls: DataFrame, test_size: float = 0.2) -> DataFrame:
+    """Allocation from a (label, n_c) class-count table."""
+    frac = Fraction(test_size).limit_denominator(1_000_000)
+    num, den = frac.numerator, frac.denominator
     # The class table has one row per label value: the unpartitioned windows
     # below run over a handful of rows.
     all_ = Window.partitionBy()
@@ -64,8 +69,12 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_col: str = "h"
                      test_size: float = 0.2, split_col: str = "split") -> DataFrame:
     """Adds ``split`` ('train' / 'test') and ``rn`` (rank of the row's hash
     inside its class). Rows with a NULL label get no split (NULL)."""
-    alloc = class_allocation(df, label_col, test_size)
-    ranked = hash_rank(df.where(F.col(label_col).isNotNull()), [label_col], key_col, out="rn")
+    ranked, totals = hash_rank(df.where(F.col(label_col).isNotNull()), [label_col], key_col,
+                               out="rn", return_totals=True)
+    # class sizes from the rank's bucket totals: no second pass over the rows
+    cls = totals.groupBy(F.col(label_col).alias("label")).agg(
+        F.sum("rn_total").cast("bigint").alias("n_c"))
+    alloc = allocation_from_counts(cls, test_size)
     a = alloc.select(F.col("label").alias(label_col), "n_test_c", "train_offset")
     # alloc has one row per class: broadcast is bounded by the label domain.
     out = ranked.join(F.broadcast(a), on=label_col)

@@ -1,0 +1,57 @@
+from pyspark.sql import functions as F
+
+from tabml.plans import models as md
+from tabml.plans import train as tr
+from tabml.plans.boost import SammeClassifier
+from tabml.plans.ml_frame import to_preds
+from tabml.plans.rff import RffSvmClassifier
+from tabml.sources import bindings as b
+
+
+def _data(spark, sf_small):
+    return tr.ml_data(b.folded(spark, sf_small, k=3), b.FEATURES)
+
+
+def _acc(model, test):
+    p = to_preds(model.transform(test), "m")
+    return p.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+
+
+def test_samme_stumps_beat_majority(spark, sf_small):
+    d = _data(spark, sf_small)
+    m = SammeClassifier(maxIter=8, stepSize=1.0).fit(d.where("split = 'train'"))
+    assert 1 <= len(m.getOrDefault(m.alphas)) <= 8
+    assert _acc(m, d.where("split = 'test'")) > 0.7
+
+
+def test_rff_svm_probabilities(spark, sf_small):
+    d = _data(spark, sf_small)
+    m = RffSvmClassifier(numFeatures=16, maxIter=10, plattFolds=2).fit(d.where("split = 'train'"))
+    p = to_preds(m.transform(d.where("split = 'test'")), "svm")
+    assert p.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+    assert _acc(m, d.where("split = 'test'")) > 0.7
+
+
+def test_random_search_uses_folds(spark, sf_small):
+    p = md.preset("check")
+    d = _data(spark, sf_small)
+    spec = md.spec_by_name(p, "Random Forest Optimized")
+    res = tr.random_search(spec, d.where("split = 'train'"), 2, 3)
+    assert res.n_candidates == 2 and len(res.cv_scores) == 2
+    assert set(res.best_params) == {"max_depth", "n_estimators"}
+
+
+def test_sample_params_whole_grid_when_small():
+    grid = {"a": [1, 2], "b": [3]}
+    assert tr.sample_params(grid, 10) == [{"a": 1, "b": 3}, {"a": 2, "b": 3}]
+    assert len(tr.sample_params({"a": list(range(10))}, 4)) == 4
+
+
+def test_train_and_evaluate_records_errors(spark, sf_small):
+    p = md.preset("check")
+    bad = md.ModelSpec("Broken", lambda d: SammeClassifier(maxIter=-1), {}, {})
+    p.specs = [md.spec_by_name(p, "SGD Classifier"), bad]
+    metrics, preds, errors, fitted = tr.train_and_evaluate(spark, _data(spark, sf_small), p, search=False)
+    assert [r.model for r in metrics.collect()] == ["SGD Classifier"]
+    assert errors.count() == 1
+    assert preds.where("split = 'test'").count() == _data(spark, sf_small).where("split='test'").count()
