@@ -1,23 +1,28 @@
 """Exact, interpolated quantiles (``quantile_cont`` / numpy 'linear') computed
 as a distributed selection instead of one in-memory value map.
 
-Plan (one pass over the data, everything after it is small or bucket-local):
+Plan (one pass over the data; everything after it reads the persisted
+distinct-value table, and every driver round trip is one row per target):
 
 * unpivot the requested columns and count *distinct* values per
   (group, column) -- a shuffle with map-side combine, so duplicates never
   travel twice;
-* bin the distinct values into equal-width buckets per (group, column) and
-  total the counts per bucket (bounded: groups x columns x buckets);
-* prefix sums over the bucket table locate the bucket holding each target
-  rank; only those buckets' rows are ordered, inside one window task each.
+* refine a value window per target rank: bin the values inside it into
+  equal-width buckets, total the counts per bucket (bounded: targets x
+  buckets), and keep the bucket holding the rank, until it has few enough
+  distinct values to be ordered inside one window task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabml.functions.exprs import nan_to_null
 from tabml.functions.rank import DEFAULT_NUMERIC_BUCKETS, equal_width_bucket
@@ -32,49 +37,91 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
               .where(F.col("value").isNotNull()))
 
 
+MAX_FINAL_BUCKET = 1 << 20   # distinct values ordered inside one window task
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (),
-                    buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
-    """Long result (group..., column, p_idx, p, n, value)."""
+                    buckets: int = DEFAULT_NUMERIC_BUCKETS,
+                    max_final: int = MAX_FINAL_BUCKET) -> DataFrame:
+    """Long result (group..., column, p_idx, p, n, value).
+
+    Selection by refinement: every target rank k (two per probability) keeps
+    a value window [lo, hi] and the number of values below it. Each round
+    bins the distinct values inside the windows into equal-width buckets
+    (one aggregate over the persisted distinct-value table), locates the
+    bucket holding k by prefix sums over the small bucket table, and narrows
+    the window to that bucket's [min, max]. A window with at most
+    ``max_final`` distinct values is finished by one ordered window per
+    target. Only one row per target returns to the driver per round."""
     g = list(group_cols)
     keys = g + ["column"]
+    spark = df.sparkSession
     vc = (unpivot_values(df, cols, g)
-          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__cnt")))
-    stats = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"),
-                                  F.min("value").alias("__lo"), F.max("value").alias("__hi"))
-    # stats has one row per (group, column): bounded by the caller, broadcast.
-    vb = (vc.join(F.broadcast(stats.select(*keys, "__lo", "__hi")), on=keys)
-            .withColumn("__bucket", equal_width_bucket("value", "__lo", "__hi", buckets))
-            .drop("__lo", "__hi"))
-    wb = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bt = (vb.groupBy(*keys, "__bucket").agg(F.sum("__cnt").alias("__bcnt"))
-            .withColumn("__before", F.coalesce(F.sum("__bcnt").over(wb), F.lit(0))))
-
-    plist = F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p"))
-                      for i, p in enumerate(probs)])
-    targets = (stats.select(*keys, "n", F.inline(plist))
-               .withColumn("__pos", F.col("p") * (F.col("n") - 1).cast("double"))
-               .withColumn("__k0", F.floor("__pos").cast("bigint"))
-               .withColumn("__k1", F.ceil("__pos").cast("bigint")))
-    ranks = targets.select(*keys, "p_idx", F.explode(F.array("__k0", "__k1")).alias("__k")).distinct()
-
-    hit = (ranks.join(bt, on=keys)
-                .where((F.col("__before") <= F.col("__k")) & (F.col("__k") < F.col("__before") + F.col("__bcnt")))
-                .select(*keys, "__bucket", "__k"))
-    cand_buckets = hit.select(*keys, "__bucket").distinct()
-    wr = Window.partitionBy(*keys, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cand = (vb.join(F.broadcast(cand_buckets), on=keys + ["__bucket"])
-              .join(bt.select(*keys, "__bucket", "__before"), on=keys + ["__bucket"])
-              .withColumn("__end", F.col("__before") + F.sum("__cnt").over(wr))
-              .withColumn("__start", F.col("__end") - F.col("__cnt")))
-    picked = (hit.join(cand, on=keys + ["__bucket"])
-                 .where((F.col("__start") <= F.col("__k")) & (F.col("__k") < F.col("__end")))
-                 .select(*keys, "__k", "value"))
-    v0 = picked.withColumnRenamed("__k", "__k0").withColumnRenamed("value", "__v0")
-    v1 = picked.withColumnRenamed("__k", "__k1").withColumnRenamed("value", "__v1")
-    res = (targets.join(v0, on=keys + ["__k0"]).join(v1, on=keys + ["__k1"])
-           .withColumn("value", F.col("__v0") + (F.col("__v1") - F.col("__v0")) * (F.col("__pos") - F.col("__k0"))))
-    return res.select(*keys, "p_idx", "p", "n", "value")
+          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__cnt"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        stats = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
+                                      F.max("value").alias("__hi")).collect()
+        key_fields = [vc.schema[c] for c in keys]
+        targets, open_, done = [], [], []
+        for r in stats:
+            kv = tuple(r[c] for c in keys)
+            n = r["n"]
+            for i, p in enumerate(probs):
+                pos = float(p) * float(n - 1)
+                k0, k1 = math.floor(pos), math.ceil(pos)
+                targets.append((kv, i, float(p), n, pos, k0, k1))
+                for k in {k0, k1}:
+                    open_.append((kv, k, r["__lo"], r["__hi"], 0))
+        win_schema = T.StructType(key_fields + [
+            T.StructField("__k", T.LongType()), T.StructField("__lo", T.DoubleType()),
+            T.StructField("__hi", T.DoubleType()), T.StructField("__before", T.LongType())])
+
+        def windows(rows):
+            # one row per target rank: bounded by groups x columns x probabilities
+            return F.broadcast(spark.createDataFrame([(*kv, k, lo, hi, b) for kv, k, lo, hi, b in rows],
+                                                     win_schema))
+
+        def inside(rows):
+            return (vc.join(windows(rows), on=keys)
+                      .where((F.col("value") >= F.col("__lo")) & (F.col("value") <= F.col("__hi"))))
+
+        while open_:
+            c = inside(open_).withColumn("__bucket", equal_width_bucket("value", "__lo", "__hi", buckets))
+            bt = c.groupBy(*keys, "__k", "__before", "__bucket").agg(
+                F.sum("__cnt").alias("__bc"), F.count(F.lit(1)).alias("__nd"),
+                F.min("value").alias("__bmin"), F.max("value").alias("__bmax"))
+            wb = Window.partitionBy(*keys, "__k").orderBy("__bucket").rowsBetween(
+                Window.unboundedPreceding, -1)
+            bt = bt.withColumn("__pre", F.col("__before") + F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
+            hits = bt.where((F.col("__pre") <= F.col("__k"))
+                            & (F.col("__k") < F.col("__pre") + F.col("__bc"))).collect()
+            open_ = []
+            for h in hits:
+                row = (tuple(h[c] for c in keys), h["__k"], h["__bmin"], h["__bmax"], h["__pre"])
+                if h["__nd"] <= max_final or h["__bmin"] == h["__bmax"]:
+                    done.append(row)
+                else:
+                    open_.append(row)
+        picked = {}
+        if done:
+            wr = Window.partitionBy(*keys, "__k").orderBy("value").rowsBetween(
+                Window.unboundedPreceding, 0)
+            fin = (inside(done).withColumn("__end", F.col("__before") + F.sum("__cnt").over(wr))
+                   .where((F.col("__end") - F.col("__cnt") <= F.col("__k")) & (F.col("__k") < F.col("__end"))))
+            for r in fin.select(*keys, "__k", "value").collect():
+                picked[(tuple(r[c] for c in keys), r["__k"])] = r["value"]
+    finally:
+        vc.unpersist()
+    out = []
+    for kv, i, p, n, pos, k0, k1 in targets:
+        v0, v1 = picked[(kv, k0)], picked[(kv, k1)]
+        out.append((*kv, i, p, n, v0 + (v1 - v0) * (pos - k0)))
+    schema = T.StructType(key_fields + [
+        T.StructField("p_idx", T.IntegerType()), T.StructField("p", T.DoubleType()),
+        T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType())])
+    return spark.createDataFrame(out, schema)
 
 
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

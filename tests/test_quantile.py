@@ -31,3 +31,16 @@ def test_grouped_and_all_null(spark):
     got = {(r.k, r.column): r.value for r in rows}
     assert got == {("g", "x"): 3.0, ("h", "x"): 7.0}   # all-NULL column absent
     assert fit_quantiles(df, ["y"], [0.5]) == {"y": [None]}
+
+
+def test_refinement_rounds_give_exact_values(spark):
+    # tiny buckets and final windows force several refinement rounds,
+    # including a dense cluster of distinct values
+    rng = random.Random(4)
+    vals = [rng.random() for _ in range(600)] + [0.5 + i * 1e-9 for i in range(400)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    probs = [0.1, 0.5, 0.77, 0.99]
+    rows = exact_quantiles(df, ["x"], probs, buckets=4, max_final=3).collect()
+    got = {r.p_idx: r.value for r in rows}
+    for i, p in enumerate(probs):
+        assert abs(got[i] - np.percentile(np.array(vals), p * 100)) < 1e-12
