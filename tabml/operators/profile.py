@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabml.functions.exprs import CLASS_NAMES, class_name, safe_div
+from tabml.functions.exprs import CLASS_NAMES, class_name, nan_to_null, safe_div
 from tabml.functions.quantile import exact_quantiles, unpivot_values
 
 R = 6
@@ -136,32 +136,101 @@ def box_outliers(df: DataFrame, cols: Sequence[str], id_col: str = "id",
              .select(id_col, "column", _r(F.col("value")).alias("z")))
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair over pairwise-complete rows, from
-    moments in one aggregate: covar_pop / (stddev_pop * stddev_pop), NULL for
-    a constant column (never an ANSI division error)."""
+WIDE_CORRELATION = 8   # columns; above this the moment-vector path is used
+
+
+def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: bool | None = None) -> DataFrame:
+    """Pearson correlation of every pair over pairwise-complete rows (like
+    pandas), NULL for a constant column (never an ANSI division error).
+
+    Narrow tables: one aggregate of covar_pop / stddev_pop per pair. Wide
+    tables: each task computes the pairwise-complete moment matrices of its
+    rows with numpy (counts, sums, sums of squares and cross products, each
+    restricted to rows where both columns are present), and one aggregate
+    sums the per-task matrices -- instead of thousands of aggregate
+    functions. Values are centred on the column means first (moments are
+    shift-invariant), so the sum-of-products form does not cancel
+    catastrophically."""
     cols = list(cols)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-            y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-            aggs += [F.covar_pop(x, y).alias(f"c_{i}_{j}"), F.stddev_pop(x).alias(f"sx_{i}_{j}"),
-                     F.stddev_pop(y).alias(f"sy_{i}_{j}")]
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
+    if wide is None:
+        wide = len(cols) > WIDE_CORRELATION
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    if wide:
+        vals = _wide_corr(df, cols, pairs)
+        rows = []
+        for (i, j), v in vals.items():
+            for a, b in {(i, j), (j, i)}:
+                rows.append((cols[a], cols[b], a, b, v))
+        long = df.sparkSession.createDataFrame(
+            rows, "col_i string, col_j string, i int, j int, corr double")
+        return long.select("col_i", "col_j", "i", "j", _r(F.col("corr")).alias("corr"))
+    aggs = []
+    for i, j in pairs:
+        a, b = cols[i], cols[j]
+        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
+        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
+        aggs += [F.covar_pop(x, y).alias(f"c_{i}_{j}"), F.stddev_pop(x).alias(f"sx_{i}_{j}"),
+                 F.stddev_pop(y).alias(f"sy_{i}_{j}")]
+    wide_row = df.agg(*aggs)
     entries = []
     for i, j in pairs:
         corr = F.try_divide(F.col(f"c_{i}_{j}"), F.col(f"sx_{i}_{j}") * F.col(f"sy_{i}_{j}"))
         for a, b in {(i, j), (j, i)}:
             entries.append(F.struct(F.lit(cols[a]).alias("col_i"), F.lit(cols[b]).alias("col_j"),
                                     F.lit(a).alias("i"), F.lit(b).alias("j"), corr.alias("corr")))
-    long = wide.select(F.inline(F.array(*entries)))
+    long = wide_row.select(F.inline(F.array(*entries)))
     return long.select("col_i", "col_j", "i", "j", _r(F.col("corr")).alias("corr"))
 
 
+def _moment_partials(cols: list, means: list):
+    """mapInPandas body: per task, pairwise-complete moment matrices of the
+    centred columns with numpy (N = M'M, SX = X'M, SXX = (X*X)'M, SXY = X'X,
+    missing values as 0 with mask M), emitted once per task as one vector."""
+    import numpy as np
+    import pandas as pd
+
+    mu = np.asarray(means, dtype=float)
+
+    def fn(batches):
+        acc = None
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float) - mu
+            m = (~np.isnan(x)).astype(float)
+            x0 = np.where(m > 0, x, 0.0)
+            blocks = np.concatenate([(m.T @ m).ravel(), (x0.T @ m).ravel(),
+                                     ((x0 * x0).T @ m).ravel(), (x0.T @ x0).ravel()])
+            acc = blocks if acc is None else acc + blocks
+        if acc is not None:
+            yield pd.DataFrame({"v": [acc.tolist()]})
+    return fn
+
+
+def _wide_corr(df: DataFrame, cols: list, pairs: list) -> dict:
+    """{(i, j): corr}: numpy moment matrices per task (Arrow batches in,
+    4 d^2 numbers out per task), summed by one ``Summarizer`` aggregate."""
+    import math
+
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+    d = len(cols)
+    means = df.agg(*[F.avg(nan_to_null(F.col(c).cast("double"))).alias(f"m{i}")
+                     for i, c in enumerate(cols)]).first()
+    mu = [means[f"m{i}"] if means[f"m{i}"] is not None else 0.0 for i in range(d)]
+    src = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in cols])
+    parts = src.mapInPandas(_moment_partials(cols, mu), "v array<double>")
+    total = parts.select(array_to_vector("v").alias("v")).agg(Summarizer.sum(F.col("v")).alias("s")).first()
+    s = total["s"].toArray() if total["s"] is not None else np.zeros(4 * d * d)
+    N, SX, SXX, SXY = (s[k * d * d:(k + 1) * d * d].reshape(d, d) for k in range(4))
+    out = {}
+    for i, j in pairs:
+        n, sx, sy = N[i, j], SX[i, j], SX[j, i]
+        vx, vy = n * SXX[i, j] - sx * sx, n * SXX[j, i] - sy * sy
+        den = math.sqrt(max(vx, 0.0) * max(vy, 0.0))
+        out[(i, j)] = float((n * SXY[i, j] - sx * sy) / den) if n > 0 and den > 0 else None
+    return out
+
+
 def correlation_lower(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Strict lower triangle of the correlation matrix (the heat-map mask
     hides the diagonal and the upper triangle)."""

@@ -91,3 +91,25 @@ def test_power_lambda_matches_bruteforce(spark):
     fine = max(sc.fine_grid(coarse), key=llf)
     lam, _, _ = sc.fit_power(df, ["x"])["x"]
     assert abs(lam - fine) < 1e-12
+
+
+def test_wide_correlation_matches_pandas(spark):
+    import pandas as pd
+    rng = np.random.RandomState(1)
+    data = rng.normal(1000.0, 3.0, size=(300, 12))
+    data[rng.rand(300, 12) < 0.1] = np.nan
+    data[:, 3] = 5.0                                   # constant column
+    pdf = pd.DataFrame(data, columns=[f"c{i}" for i in range(12)])
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in data],
+                               ", ".join(f"c{i} double" for i in range(12)))
+    cols = list(pdf.columns)
+    for wide in (True, False):
+        got = {(r.col_i, r.col_j): r.corr for r in pf.correlation_matrix(df, cols, wide=wide).collect()}
+        ref = pdf.corr()
+        for a in cols:
+            for b_ in cols:
+                want = ref.loc[a, b_]
+                if a == "c3" or b_ == "c3":
+                    assert got[(a, b_)] is None
+                else:
+                    assert abs(got[(a, b_)] - want) < 2e-6, (a, b_, wide)
