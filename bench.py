@@ -4,6 +4,8 @@ Runs each query at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] and prints ONE JSON line with per-query seconds. Every
 query is executed completely through the no-op sink (no collect to the
 driver). A warm-up query at the smallest scale runs first and is not counted.
+The cache is cleared before every query, so no query reuses data persisted
+by an earlier one.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ def main() -> None:
         QUERIES["model_metrics"](spark, warm).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
+        spark.catalog.clearCache()   # each query pays for its own inputs
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
