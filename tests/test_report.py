@@ -45,3 +45,15 @@ def test_overfit_flag(spark):
                                "model string, fold int, train_size bigint, train_score double, val_score double")
     g = rp.overfit_gap(rp.learning_curve_agg(sc)).first()
     assert g.train_size == 10 and abs(g.gap - 0.09) < 1e-9 and g.overfit
+
+
+def test_run_all_writes_every_report(spark, sf_small, tmp_path):
+    from tabml.plans.report_all import report_tables, run_all
+    from tabml.sources import bindings as b
+    labelled = b.feat_raw(spark, sf_small).select(*b.FEATURES, "label")
+    status = run_all(spark, labelled, b.FEATURES, b.preds(spark, sf_small), b.metrics(spark, sf_small),
+                     str(tmp_path / "reports"))
+    rows = {r.report: r for r in status.collect()}
+    assert set(rows) == set(report_tables(labelled, b.FEATURES, b.preds(spark, sf_small),
+                                          b.metrics(spark, sf_small)))
+    assert all(r.error is None and r.n_rows >= 1 for r in rows.values())
