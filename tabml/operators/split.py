@@ -181,10 +181,11 @@ def learning_curve_subsets(folded: DataFrame, k: int = 5, fractions=None,
 def permute_column(df: DataFrame, column: str, id_col: str = "id", seed: int = 42,
                    repeat: int = 0, digits: int = 4) -> DataFrame:
     """Seeded permutation of one column: the value at rank r of hash order B
-    moves to the row at rank r of hash order A. Exact, distributed (two
-    bucketed ranks and one equi-join on the rank); keeps the multiset."""
+    moves to the row at rank r of hash order A (both orders depend on the
+    repeat only). Exact, distributed (two bucketed ranks and one equi-join on
+    the rank); keeps the multiset."""
     ha = md5_key(F.lit(f"a{repeat}"), id_col, seed=seed)
-    hb = md5_key(F.lit(f"b{repeat}:{column}"), id_col, seed=seed)
+    hb = md5_key(F.lit(f"b{repeat}"), id_col, seed=seed)
     rows = hash_rank(df.withColumn("__ha", ha), [], "__ha", out="__r", digits=digits)
     vals = hash_rank(df.select(F.col(column).alias("__pv"), hb.alias("__hb")), [], "__hb",
                      out="__r", digits=digits).select("__r", "__pv")
@@ -195,29 +196,29 @@ def permute_column(df: DataFrame, column: str, id_col: str = "id", seed: int = 4
 
 def permuted_copies(df: DataFrame, features, n_repeats: int, id_col: str = "id",
                     seed: int = 42, digits: int = 4) -> DataFrame:
-    """All (feature, repeat) permuted copies of ``df`` in one plan: for copy
-    (f, r) column f holds the values of f permuted exactly as
-    ``permute_column(df, f, repeat=r)`` does; other columns are unchanged.
-    Two bucketed ranks (rows per repeat, values per (feature, repeat)) and
-    one equi-join on (feature, repeat, rank); d x R x n rows, no union of
-    per-copy plans."""
+    """All (feature, repeat) permuted copies of ``df`` in one plan: in copy
+    (f, r) column f holds its values permuted exactly as
+    ``permute_column(df, f, repeat=r)`` does; the other columns are unchanged.
+    Per repeat, rows are ranked by order A and all feature values together
+    by order B (two bucketed ranks over R x n rows), joined one-to-one on
+    (repeat, rank), and only then expanded to one copy per feature."""
     features = list(features)
     reps = F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("repeat")
-    rows = df.select("*", reps)
-    rows = rows.withColumn("__ha", F.md5(F.concat(F.lit(f"{seed}:a"), F.col("repeat").cast("string"),
-                                                  F.lit("|"), F.col(id_col).cast("string"))))
+
+    def key(tag):
+        return F.md5(F.concat(F.lit(f"{seed}:{tag}"), F.col("repeat").cast("string"),
+                              F.lit("|"), F.col(id_col).cast("string")))
+
+    rows = df.select("*", reps).withColumn("__ha", key("a"))
     rows = bucketed_cumsum(rows, ["repeat"], "__ha", hex_bucket("__ha", digits),
                            {"__r": F.lit(1).cast("bigint")}).drop("__ha")
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("__pv"))
-                      for f in features])
-    vals = df.select(id_col, F.inline(pairs)).select("*", reps)
-    vals = vals.withColumn("__hb", F.md5(F.concat(
-        F.lit(f"{seed}:b"), F.col("repeat").cast("string"), F.lit(":"), F.col("feature"),
-        F.lit("|"), F.col(id_col).cast("string"))))
-    vals = bucketed_cumsum(vals, ["feature", "repeat"], "__hb", hex_bucket("__hb", digits),
-                           {"__r": F.lit(1).cast("bigint")}).select("feature", "repeat", "__r", "__pv")
-    copies = rows.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
-    out = copies.join(vals, on=["feature", "repeat", "__r"])
-    out = out.withColumns({f: F.when(F.col("feature") == f, F.col("__pv")).otherwise(F.col(f))
-                           for f in features})
-    return out.drop("__r", "__pv")
+    vals = df.select(id_col, *[F.col(f).alias(f"__pv{i}") for i, f in enumerate(features)], reps) \
+             .withColumn("__hb", key("b"))
+    vals = bucketed_cumsum(vals, ["repeat"], "__hb", hex_bucket("__hb", digits),
+                           {"__r": F.lit(1).cast("bigint")}) \
+        .select("repeat", "__r", *[f"__pv{i}" for i in range(len(features))])
+    joined = rows.join(vals, on=["repeat", "__r"])
+    out = joined.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    out = out.withColumns({f: F.when(F.col("feature") == f, F.col(f"__pv{i}")).otherwise(F.col(f))
+                           for i, f in enumerate(features)})
+    return out.drop("__r", *[f"__pv{i}" for i in range(len(features))])

@@ -304,7 +304,7 @@ register("permute_column", with_(FEAT) + """,
 rows AS (SELECT id, l_extendedprice AS original,
                 row_number() OVER (ORDER BY md5('42:a0|' || id)) AS r FROM feat),
 vals AS (SELECT l_extendedprice AS permuted,
-                row_number() OVER (ORDER BY md5('42:b0:permuted|' || id)) AS r FROM feat)
+                row_number() OVER (ORDER BY md5('42:b0|' || id)) AS r FROM feat)
 SELECT id, original, permuted FROM rows JOIN vals USING (r)""")
 
 register("join_predictions", """
