@@ -70,43 +70,85 @@ def _yeo_johnson_lam_col(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def _best_lambdas(df: DataFrame, cols: Sequence[str], grids: dict) -> dict:
-    """Maximise the Yeo-Johnson log-likelihood
-    -n/2 * log(var(t)) + (lambda - 1) * sum(sign(x) * log1p(|x|)) over each
-    column's grid. The grid is exploded per value and reduced by a grouped
-    aggregate keyed by (column, lambda): a few fused aggregates (codegen),
-    partial aggregation on the map side, columns x grid rows collected."""
+def _lambda_sums(vc: DataFrame, grids: dict, means: dict) -> list:
+    """Per (column, lambda): S0 = sum(c), S1 = sum(c t), S2 = sum(c t^2) of the
+    transformed distinct values t = yj(x, lambda) - yj(mean, lambda) (the
+    shift keeps the variance from cancelling). The grid is exploded per
+    distinct value and reduced by a grouped aggregate; columns x grid rows
+    come back."""
+    cols = list(grids)
     grid_map = F.create_map(*[x for c in cols for x in (
         F.lit(c), F.array(*[F.lit(float(v)) for v in grids[c]]))])
-    v = unpivot_values(df, cols)
-    ex = v.select("column", "value", F.explode(F.element_at(grid_map, F.col("column"))).alias("lam"))
-    x = F.col("value")
-    agg = ex.groupBy("column", "lam").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_pop(_yeo_johnson_lam_col(x, F.col("lam"))).alias("v"),
-        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("s"))
-    best: dict = {c: None for c in cols}
-    top: dict = {}
-    for r in sorted(agg.collect(), key=lambda r: (r["column"], r["lam"])):
-        if not r["v"] or r["v"] <= 0:
+    mean_map = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(means[c])))])
+    ex = vc.select("column", "value", "__c",
+                   F.explode(F.element_at(grid_map, F.col("column"))).alias("lam"))
+    lam = F.col("lam")
+    t = (_yeo_johnson_lam_col(F.col("value"), lam)
+         - _yeo_johnson_lam_col(F.element_at(mean_map, F.col("column")), lam))
+    w = F.col("__c").cast("double")
+    return ex.groupBy("column", "lam").agg(F.sum(w).alias("s0"), F.sum(w * t).alias("s1"),
+                                           F.sum(w * t * t).alias("s2")).collect()
+
+
+def _argmax(rows, n: dict, s: dict) -> tuple[dict, dict]:
+    """Best lambda per column (ties -> smaller lambda) and its sums.
+    llf = -n/2 * log(var(t)) + (lambda - 1) * sum(sign(x) log1p(|x|))."""
+    best, top = {}, {}
+    for r in sorted(rows, key=lambda r: (r["column"], r["lam"])):
+        c = r["column"]
+        var = r["s2"] / r["s0"] - (r["s1"] / r["s0"]) ** 2
+        if not var or var <= 0:
             continue
-        llf = -r["n"] / 2.0 * math.log(r["v"]) + (r["lam"] - 1.0) * r["s"]
-        if r["column"] not in top or llf > top[r["column"]]:
-            top[r["column"]], best[r["column"]] = llf, r["lam"]
-    return best
+        llf = -n[c] / 2.0 * math.log(var) + (r["lam"] - 1.0) * s[c]
+        if c not in top or llf > top[c]:
+            top[c], best[c] = llf, r
+    return {c: r["lam"] for c, r in best.items()}, best
 
 
 def fit_power(df: DataFrame, cols: Sequence[str]) -> dict:
     """{column: (lambda, mean_t, scale_t)}: lambda by a coarse grid (step 0.1
     on [-3, 3]) refined on a 0.01 grid around the best point, then the
-    population mean / std of the transformed column."""
+    population mean / std of the transformed column.
+
+    Works on the distinct values of each column with their counts (one
+    aggregate, persisted for the two grid passes), so low-cardinality
+    columns cost almost nothing; the mean / std come from the fine pass's
+    sums at the chosen lambda (no third pass)."""
     cols = list(cols)
-    lam1 = _best_lambdas(df, cols, {c: coarse_grid() for c in cols})
-    lam2 = _best_lambdas(df, cols, {c: fine_grid(lam1[c]) if lam1[c] is not None else [1.0]
-                                    for c in cols})
-    t = df.select(*[yeo_johnson(c, lam2[c]).alias(c) for c in cols])
-    std = fit_standard(t, cols)
-    return {c: (lam2[c], *std[c]) for c in cols}
+    vc = (unpivot_values(df, cols).groupBy("column", "value")
+          .agg(F.count(F.lit(1)).alias("__c")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        mom = {r["column"]: r for r in vc.groupBy("column").agg(
+            F.sum("__c").alias("n"),
+            (F.sum(F.col("__c") * F.col("value")) / F.sum("__c")).alias("mean"),
+            F.sum(F.col("__c") * F.signum("value") * F.log1p(F.abs("value"))).alias("s")).collect()}
+        live = [c for c in cols if c in mom]
+        n = {c: mom[c]["n"] for c in live}
+        s = {c: mom[c]["s"] for c in live}
+        means = {c: mom[c]["mean"] for c in live}
+        lam1, _ = _argmax(_lambda_sums(vc, {c: coarse_grid() for c in live}, means), n, s)
+        fine = {c: fine_grid(lam1[c]) if c in lam1 else [1.0] for c in live}
+        lam2, rows = _argmax(_lambda_sums(vc, fine, means), n, s)
+    finally:
+        vc.unpersist()
+    out = {}
+    for c in cols:
+        if c not in lam2:
+            out[c] = (1.0, 0.0, 1.0)
+            continue
+        r = rows[c]
+        shift = _yj_scalar(means[c], lam2[c])
+        m1 = r["s1"] / r["s0"]
+        var = r["s2"] / r["s0"] - m1 * m1
+        std = math.sqrt(var) if var > 0 else 0.0
+        out[c] = (lam2[c], shift + m1, std if std > 0 else 1.0)
+    return out
+
+
+def _yj_scalar(x: float, lam: float) -> float:
+    if x >= 0:
+        return math.log1p(x) if abs(lam) < 1e-12 else ((x + 1.0) ** lam - 1.0) / lam
+    return -math.log1p(-x) if abs(lam - 2.0) < 1e-12 else -((-x + 1.0) ** (2.0 - lam) - 1.0) / (2.0 - lam)
 
 
 def apply_power(df: DataFrame, params: dict) -> DataFrame:
