@@ -224,6 +224,13 @@ def q_correlation_matrix(spark, d):
     return pf.correlation_matrix(b.feat_raw(spark, d), b.FEATURES + ["label"])
 
 
+@query("correlation_wide")
+def q_correlation_wide(spark, d):
+    """Above 8 columns the per-task moment-matrix path is used."""
+    e = b.embedding_columns(spark, d)
+    return pf.correlation_matrix(e, [f"e{i}" for i in range(b.EMBED_DIMS)] + ["label"])
+
+
 @query("correlation_lower")
 def q_correlation_lower(spark, d):
     return pf.correlation_lower(b.feat_raw(spark, d), b.FEATURES + ["label"])
