@@ -486,21 +486,22 @@ def q_score_batch(spark, d):
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, d):
-    """Save a fitted pipeline under its slug, load it back, and count the
-    test rows whose prediction changed (expected 0)."""
+    """Save a fitted pipeline under its slug (and in the registry), load it
+    back by name, and count the test rows whose prediction changed
+    (expected 0)."""
     name = "Logistic Regression"
     data = _ml(spark, d, 3)
     test = data.where("split = 'test'")
     model = tr.fit_pipeline([LogisticRegression()], data.where("split = 'train'"))
-    path = tr.save_model(model, spark, name)
-    loaded = tr.load_pipeline(path)
-    slug_name = path.rstrip("/").rsplit("/", 1)[-1]
+    tr.save_model(model, spark, name)
+    loaded = tr.load_model(spark, name)
+    entry = tr.model_registry(spark).where(F.col("model") == name).select("model", "slug")
     a = model.transform(test).select("id", "features", F.col("prediction").alias("p_a"))
     both = loaded.transform(a).select("p_a", "prediction")
-    return both.agg(F.count(F.lit(1)).alias("n_scored"),
-                    F.count_if(F.col("p_a") != F.col("prediction")).alias("n_mismatch")) \
-        .select(F.lit(slug_name.replace("_", " ").title()).alias("model"),
-                F.lit(slug_name).alias("slug"), "n_scored", "n_mismatch")
+    c = both.agg(F.count(F.lit(1)).alias("n_scored"),
+                 F.count_if(F.col("p_a") != F.col("prediction")).alias("n_mismatch")).first()
+    return entry.select("model", "slug", F.lit(c["n_scored"]).cast("bigint").alias("n_scored"),
+                        F.lit(c["n_mismatch"]).cast("bigint").alias("n_mismatch"))
 
 
 @query("score_stream")

@@ -234,13 +234,34 @@ def permutation_importance(model, name: str, test: DataFrame, features: list[str
 
 def save_model(model, spark: SparkSession, name: str, folder: str | None = None) -> str:
     """Persist a fitted MLlib model under the shared folder, file name =
-    lower-cased name with blanks as underscores."""
-    folder = folder or work_dir(spark, "models")
-    path = f"{folder.rstrip('/')}/{name.lower().replace(' ', '_')}"
+    lower-cased name with blanks as underscores, and record (model, slug,
+    path) in the folder's registry table, so the display name is read back
+    exactly instead of being rebuilt from the file name."""
+    folder = (folder or work_dir(spark, "models")).rstrip("/")
+    slug_name = name.lower().replace(" ", "_")
+    path = f"{folder}/{slug_name}"
     model.write().overwrite().save(path)
+    entry = spark.createDataFrame([(name, slug_name, path, time.time())],
+                                  "model string, slug string, path string, saved_at double")
+    entry.write.mode("append").parquet(f"{folder}/_registry")
     return path
 
 
+def model_registry(spark: SparkSession, folder: str | None = None) -> DataFrame:
+    """Latest registry entry per model name."""
+    folder = (folder or work_dir(spark, "models")).rstrip("/")
+    reg = spark.read.parquet(f"{folder}/_registry")
+    return reg.groupBy("model").agg(F.max_by(F.struct("slug", "path"), "saved_at").alias("e")) \
+        .select("model", "e.slug", "e.path")
+
+
+def load_model(spark: SparkSession, name: str, folder: str | None = None) -> PipelineModel:
+    row = model_registry(spark, folder).where(F.col("model") == name).first()
+    if row is None:
+        raise KeyError(f"no saved model named {name!r}")
+    return PipelineModel.load(row["path"])
+
+
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
