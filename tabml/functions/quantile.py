@@ -38,6 +38,7 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
 
 
 MAX_FINAL_BUCKET = 1 << 20   # distinct values ordered inside one window task
+MAX_KEYS = 100_000           # (group, column) pairs whose targets go to the driver
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
@@ -61,8 +62,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
           .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__cnt"))
           .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        stats = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
-                                      F.max("value").alias("__hi")).collect()
+        stats_df = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
+                                         F.max("value").alias("__hi"))
+        # size check before anything comes back: one row per (group, column)
+        stats = stats_df.limit(MAX_KEYS + 1).collect()
+        if len(stats) > MAX_KEYS:
+            raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) pairs; "
+                             "use percentile_approx for high-cardinality grouping")
         key_fields = [vc.schema[c] for c in keys]
         targets, open_, done = [], [], []
         for r in stats:
