@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,12 +174,8 @@ def apply_scaler(df: DataFrame, fitted: tuple[str, dict]) -> DataFrame:
 
 def scale_split(df: DataFrame, cols: Sequence[str], method: str = "standard",
                 split_col: str = "split") -> DataFrame:
-    """Fit on the training rows only, apply to every row. The training
-    projection is persisted for the fit (the power fit reads it three times)
-    and released afterwards."""
-    train = df.where(F.col(split_col) == "train").select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fitted = fit_scaler(train, cols, method)
-    finally:
-        train.unpersist()
+    """Fit on the training rows only, apply to every row. Every fit reads
+    the rows once (the multi-pass fits persist their own distinct-value
+    tables), so nothing is persisted here."""
+    fitted = fit_scaler(df.where(F.col(split_col) == "train").select(*cols), cols, method)
     return apply_scaler(df, fitted)
