@@ -113,3 +113,26 @@ def confidence_band(conf) -> Column:
 def slug(name) -> Column:
     """Model file name: lower case, blanks to underscores."""
     return F.replace(F.lower(col_(name)), F.lit(" "), F.lit("_"))
+
+
+def round6(x) -> Column:
+    """floor(x * 1e6 + 0.5) / 1e6: pure IEEE arithmetic, so two engines that
+    hold the same double print the same rounded value (no decimal-repr ties)."""
+    return F.floor(col_(x) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+
+
+def ordered_mean(c) -> Column:
+    """Mean over a small group (folds, models) as a left fold over the sorted
+    values: the same operations in the same order on every engine and every
+    partitioning. The group is collected, so use it only where the group size
+    is bounded by a parameter."""
+    arr = F.array_sort(F.collect_list(col_(c)))
+    return F.aggregate(arr, F.lit(0.0), lambda a, v: a + v) / F.size(arr)
+
+
+def ordered_std_pop(c) -> Column:
+    """Population std over a small group, two-pass on the sorted values."""
+    arr = F.array_sort(F.collect_list(col_(c)))
+    m = F.aggregate(arr, F.lit(0.0), lambda a, v: a + v) / F.size(arr)
+    ss = F.aggregate(arr, F.lit(0.0), lambda a, v: a + (v - m) * (v - m))
+    return F.sqrt(ss / F.size(arr))

@@ -285,9 +285,9 @@ vs AS (SELECT model, fold AS cv_fold,
               count(*) FILTER (WHERE label = prediction) / count(*) AS val_score
        FROM vp GROUP BY ALL),
 scores AS (SELECT * FROM trs JOIN vs USING (model, cv_fold)),
-curve AS (SELECT model, train_size, round(avg(train_score), 6) AS train_mean,
-                 round(stddev_pop(train_score), 6) AS train_std,
-                 round(avg(val_score), 6) AS val_mean, round(stddev_pop(val_score), 6) AS val_std,
+curve AS (SELECT model, train_size, floor((list_reduce(list_sort(list(train_score)), lambda a, x: a + x) / count(*)) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS train_mean,
+                 floor((sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(list_sort(list(train_score)), lambda x: (x - (list_reduce(list_sort(list(train_score)), lambda a, x: a + x) / count(*))) * (x - (list_reduce(list_sort(list(train_score)), lambda a, x: a + x) / count(*))))), lambda a, y: a + y) / count(*))) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS train_std,
+                 floor((list_reduce(list_sort(list(val_score)), lambda a, x: a + x) / count(*)) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS val_mean, floor((sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(list_sort(list(val_score)), lambda x: (x - (list_reduce(list_sort(list(val_score)), lambda a, x: a + x) / count(*))) * (x - (list_reduce(list_sort(list(val_score)), lambda a, x: a + x) / count(*))))), lambda a, y: a + y) / count(*))) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS val_std,
                  count(*) AS n_folds
           FROM scores GROUP BY ALL)"""
 
@@ -297,8 +297,8 @@ SELECT * FROM curve""")
 register("overfit_gap", CURVE + """,
 last AS (SELECT model, max(train_size) AS train_size, arg_max(train_mean, train_size) AS final_train,
                 arg_max(val_mean, train_size) AS final_val FROM curve GROUP BY model)
-SELECT model, train_size, final_train, final_val, round(final_train - final_val, 6) AS gap,
-       round(final_train - final_val, 6) > 0.02 AS overfit FROM last""")
+SELECT model, train_size, final_train, final_val, floor((final_train - final_val) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS gap,
+       floor((final_train - final_val) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE > 0.02 AS overfit FROM last""")
 
 register("permute_column", with_(FEAT) + """,
 rows AS (SELECT id, l_extendedprice AS original,
@@ -539,10 +539,11 @@ SELECT first(model ORDER BY test_accuracy DESC, model_order) AS best_model,
 FROM metrics""")
 
 register("overall_stats", METRIC_BASE + """
-SELECT count(*) AS n_models, round(avg(test_accuracy), 6) AS mean_test_accuracy,
-       round(stddev_pop(test_accuracy), 6) AS std_test_accuracy,
-       round(avg(training_time), 6) AS mean_training_time,
-       round(sum(training_time), 6) AS total_training_time FROM metrics""")
+SELECT count(*) AS n_models, floor((list_reduce(list_sort(list(test_accuracy)), lambda a, x: a + x) / count(*)) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS mean_test_accuracy,
+       floor((sqrt(list_reduce(list_prepend(0.0::DOUBLE, list_transform(list_sort(list(test_accuracy)), lambda x: (x - (list_reduce(list_sort(list(test_accuracy)), lambda a, x: a + x) / count(*))) * (x - (list_reduce(list_sort(list(test_accuracy)), lambda a, x: a + x) / count(*))))), lambda a, y: a + y) / count(*))) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS std_test_accuracy,
+       floor((list_reduce(list_sort(list(training_time)), lambda a, x: a + x) / count(*)) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS mean_training_time,
+       floor((list_reduce(list_sort(list(training_time)), lambda a, x: a + x)) * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS total_training_time
+FROM metrics""")
 
 register("radar_metrics", METRIC_BASE + """,
 r AS (SELECT *, CASE WHEN precision + sensitivity > 0
