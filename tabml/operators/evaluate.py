@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions.exprs import CLASS_NAMES, f1_expr, safe_div
-from tabml.functions.rank import DEFAULT_NUMERIC_BUCKETS, bucketed_cumsum, equal_width_bucket
+from tabml.functions.rank import DEFAULT_NUMERIC_BUCKETS, bucketed_cumsum
 
 R = 6  # decimals kept in derived floating results
 
@@ -137,19 +137,25 @@ def error_analysis(preds: DataFrame, split: str = "test") -> DataFrame:
 def _score_points(preds: DataFrame, split: str, buckets: int) -> DataFrame:
     """One row per (model, distinct score) with pos/neg counts, cumulative tp
     / fp in descending score order, and the model totals P / N.
-    Models without probabilities (NULL score) are absent."""
+    Models without probabilities (NULL score) are absent.
+
+    Scores are probabilities, so the monotone bucket is a fixed bin of the
+    score clamped to [0, 1] (an out-of-range score still orders correctly,
+    it only lands in an edge bin). P and N come from the bucket totals of the
+    prefix sums, so the distinct-score table is read by one exchange."""
     p = preds.where((F.col("split") == split) & F.col("score").isNotNull())
     pts = p.groupBy("model", "score").agg(
         F.sum(F.col("label").cast("bigint")).alias("pos"),
         F.sum((1 - F.col("label")).cast("bigint")).alias("neg"))
+    clamped = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
+    bucket = F.least(F.floor(clamped * F.lit(float(buckets))).cast("bigint"),
+                     F.lit(buckets - 1).cast("bigint"))
+    cum, totals = bucketed_cumsum(pts.withColumn("bucket", bucket), ["model"], "score",
+                                  F.col("bucket"), {"tp": F.col("pos"), "fp": F.col("neg")},
+                                  descending=True, return_totals=True)
     # one row per model: bounded by the number of models
-    tot = pts.groupBy("model").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-                                   F.min("score").alias("lo"), F.max("score").alias("hi"))
-    b = pts.join(F.broadcast(tot), on="model").withColumn(
-        "bucket", equal_width_bucket("score", "lo", "hi", buckets))
-    cum = bucketed_cumsum(b, ["model"], "score", F.col("bucket"),
-                          {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
-    return cum
+    tot = totals.groupBy("model").agg(F.sum("tp_total").alias("P"), F.sum("fp_total").alias("N"))
+    return cum.join(F.broadcast(tot), on="model")
 
 
 def roc_points(preds: DataFrame, split: str = "test",
