@@ -55,3 +55,17 @@ def test_train_and_evaluate_records_errors(spark, sf_small):
     assert [r.model for r in metrics.collect()] == ["SGD Classifier"]
     assert errors.count() == 1
     assert preds.where("split = 'test'").count() == _data(spark, sf_small).where("split='test'").count()
+
+
+def test_rff_udf_path_matches_expression_path(spark, sf_small, monkeypatch):
+    import numpy as np
+    from tabml.plans import rff
+    d = _data(spark, sf_small).where("split = 'test'").limit(200)
+    rng = np.random.RandomState(0)
+    W, bb, w = rng.normal(size=(4, 8)), rng.uniform(0, 6, 8), rng.normal(size=8)
+    expr = [r[0] for r in d.select(rff.rff_margin(F.col("features"), W, bb, w, 0.3)).collect()]
+    monkeypatch.setattr(rff, "EXPR_LIMIT", 0)
+    udf = [r[0] for r in d.select(rff.rff_margin(F.col("features"), W, bb, w, 0.3)).collect()]
+    assert np.allclose(expr, udf, atol=1e-9)
+    feats = d.select(rff.rff_features(F.col("features"), W, bb).alias("z")).first().z
+    assert len(feats) == 8
