@@ -142,12 +142,21 @@ def learning_curve_sizes(n_max: int, fractions=None) -> list[int]:
 def fold_train_ranks(folded: DataFrame, k: int, key_col: str = "h",
                      digits: int = 4) -> DataFrame:
     """For each fold f, rank (1-based, hash order) of every training row that
-    is *not* in fold f: rows (cv_fold, rank_f, ...). k-1 copies per row."""
+    is *not* in fold f: rows (cv_fold, rank_f, ...), k-1 per training row.
+
+    One bucketed prefix sum over the training rows carries k + 1 running
+    counts (all rows, and rows of each fold); for a row outside fold f,
+    rank_f = rank - (rows of fold f before it). The k-1 copies per row are
+    made after the ranking, as a projection, so no copy is shuffled."""
     train = folded.where(F.col("split") == "train")
-    others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col("fold"))
-    ex = train.withColumn("cv_fold", F.explode(others))
-    return bucketed_cumsum(ex, ["cv_fold"], key_col, hex_bucket(key_col, digits),
-                           {"rank_f": F.lit(1).cast("bigint")})
+    counts = {"__all": F.lit(1).cast("bigint")}
+    counts.update({f"__c{f}": (F.col("fold") == f).cast("bigint") for f in range(k)})
+    ranked = bucketed_cumsum(train, [], key_col, hex_bucket(key_col, digits), counts)
+    per_fold = F.array(*[F.struct(F.lit(f).alias("cv_fold"),
+                                  (F.col("__all") - F.col(f"__c{f}")).alias("rank_f"))
+                         for f in range(k)])
+    out = ranked.select("*", F.inline(per_fold)).where(F.col("cv_fold") != F.col("fold"))
+    return out.drop("__all", *[f"__c{f}" for f in range(k)])
 
 
 def learning_curve_subsets(folded: DataFrame, k: int = 5, fractions=None,
