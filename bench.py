@@ -33,7 +33,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [q for q in (sys.argv[1:] or HEADLINE) if q in QUERIES]
-    spark = get_spark(f"local[{cpus}]", app="tabml-bench", shuffle_partitions=int(cpus) * 2)
+    # shuffle partitions sized to the local cores (AQE coalesces further);
+    # on a cluster this is sized to the data instead
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_spark(f"local[{cpus}]", app="tabml-bench", shuffle_partitions=parts)
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm):
         QUERIES["model_metrics"](spark, warm).write.format("noop").mode("overwrite").save()
