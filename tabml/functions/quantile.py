@@ -141,11 +141,28 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                        for i, n in enumerate(names)]))
 
 
-def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     accuracy: int = 100_000) -> DataFrame:
+    """Opt-in approximation: one pass of ``percentile_approx`` (rank error at
+    most n / accuracy), for tables where the exact selection's distinct-value
+    table is too expensive. Same long layout as ``exact_quantiles``."""
+    pa = F.percentile_approx("value", [float(p) for p in probs], accuracy)
+    agg = unpivot_values(df, cols).groupBy("column").agg(pa.alias("__q"), F.count(F.lit(1)).alias("n"))
+    plist = F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p"))
+                      for i, p in enumerate(probs)])
+    return agg.select("column", "n", "__q", F.inline(plist)).select(
+        "column", "p_idx", "p", "n", F.element_at("__q", F.col("p_idx") + 1).cast("double").alias("value"))
+
+
+def fit_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                  method: str = "exact") -> dict:
     """Driver-side {column: [q...]} -- a *fit*: the collected result has
     len(cols) rows, independent of the data size. All-NULL columns map to
-    [None, ...]."""
-    rows = exact_quantiles(df, cols, probs).collect()
+    [None, ...]. ``method='approx'`` trades exactness for one pass."""
+    if method not in ("exact", "approx"):
+        raise ValueError(f"unknown quantile method {method!r}")
+    fn = exact_quantiles if method == "exact" else approx_quantiles
+    rows = fn(df, cols, probs).collect()
     out = {c: [None] * len(probs) for c in cols}
     for r in rows:
         out[r["column"]][r["p_idx"]] = r["value"]

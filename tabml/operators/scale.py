@@ -22,9 +22,9 @@ from tabml.operators.profile import apply_standard, fit_standard
 SCALERS = ("standard", "robust", "power")
 
 
-def fit_robust(df: DataFrame, cols: Sequence[str]) -> dict:
+def fit_robust(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict:
     """{column: (median, iqr)}; zero IQR -> 1 (centre only)."""
-    q = fit_quantiles(df, cols, [0.25, 0.5, 0.75])
+    q = fit_quantiles(df, cols, [0.25, 0.5, 0.75], method)
     out = {}
     for c in cols:
         q1, med, q3 = q[c]

@@ -44,3 +44,15 @@ def test_refinement_rounds_give_exact_values(spark):
     got = {r.p_idx: r.value for r in rows}
     for i, p in enumerate(probs):
         assert abs(got[i] - np.percentile(np.array(vals), p * 100)) < 1e-12
+
+
+def test_approx_method_close_to_exact(spark):
+    rng = random.Random(8)
+    vals = [rng.gauss(0, 1) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ex = fit_quantiles(df, ["x"], [0.25, 0.5, 0.75])["x"]
+    ap = fit_quantiles(df, ["x"], [0.25, 0.5, 0.75], method="approx")["x"]
+    srt = sorted(vals)
+    for e, a in zip(ex, ap):
+        # rank error of the approximation is bounded: compare positions
+        assert abs(np.searchsorted(srt, e) - np.searchsorted(srt, a)) <= 5
