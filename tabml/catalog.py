@@ -438,7 +438,7 @@ def q_train_and_evaluate(spark, d):
     metrics, _, errors, _ = tr.train_and_evaluate(
         spark, _ml(spark, d, p.folds), p,
         names=["XGBoost", "Random Forest Optimized", "SGD Classifier"], search=True)
-    return metrics.select("model", "train_accuracy", "test_accuracy", "sensitivity",
+    return metrics.select("model", "train_accuracy", "test_accuracy", "cv_accuracy", "sensitivity",
                           "specificity", "precision", F.to_json("best_params").alias("best_params"),
                           "learning_rate")
 

@@ -116,9 +116,11 @@ def evaluate_model(spec: ModelSpec, data: DataFrame, p: Preset, search: bool = T
     covers search + refit + scoring, like the reference."""
     t0 = time.time()
     train = data.where(F.col("split") == "train")
+    cv_acc = None
     if search and spec.grid:
         res = random_search(spec, train, p.n_iter, p.folds)
         model, params, n_cand = res.model, res.best_params, res.n_candidates
+        cv_acc = float(max(res.cv_scores)) if res.cv_scores else None
     else:
         model, params, n_cand = fit_default(spec, train), None, 1
     preds = to_preds(model.transform(data), spec.name)
@@ -129,7 +131,7 @@ def evaluate_model(spec: ModelSpec, data: DataFrame, p: Preset, search: bool = T
     return dict(model=spec.name, train_accuracy=row["train_accuracy"], test_accuracy=row["test_accuracy"],
                 training_time=elapsed, sensitivity=row["sensitivity"], specificity=row["specificity"],
                 precision=row["precision"], best_params=best or {"params": "Default"},
-                learning_rate=lr, n_candidates=n_cand, fitted=model, preds=preds)
+                learning_rate=lr, cv_accuracy=cv_acc, n_candidates=n_cand, fitted=model, preds=preds)
 
 
 METRICS_SCHEMA = T.StructType([
@@ -138,7 +140,10 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("sensitivity", T.DoubleType()), T.StructField("specificity", T.DoubleType()),
     T.StructField("precision", T.DoubleType()),
     T.StructField("best_params", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("learning_rate", T.StringType())])
+    T.StructField("learning_rate", T.StringType()),
+    # best mean fold accuracy of the search (NULL without one): selection on
+    # the folds, reported next to the single test split
+    T.StructField("cv_accuracy", T.DoubleType())])
 ERRORS_SCHEMA = T.StructType([T.StructField("model", T.StringType()),
                               T.StructField("message", T.StringType())])
 
