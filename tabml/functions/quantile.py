@@ -56,70 +56,83 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     ``max_final`` distinct values is finished by one ordered window per
     target. Only one row per target returns to the driver per round."""
     g = list(group_cols)
-    keys = g + ["column"]
-    spark = df.sparkSession
-    vc = (unpivot_values(df, cols, g)
-          .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("__cnt"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
+    vc = distinct_counts(df, cols, g).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats_df = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
-                                         F.max("value").alias("__hi"))
-        # size check before anything comes back: one row per (group, column)
-        stats = stats_df.limit(MAX_KEYS + 1).collect()
-        if len(stats) > MAX_KEYS:
-            raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) pairs; "
-                             "use percentile_approx for high-cardinality grouping")
-        key_fields = [vc.schema[c] for c in keys]
-        targets, open_, done = [], [], []
-        for r in stats:
-            kv = tuple(r[c] for c in keys)
-            n = r["n"]
-            for i, p in enumerate(probs):
-                pos = float(p) * float(n - 1)
-                k0, k1 = math.floor(pos), math.ceil(pos)
-                targets.append((kv, i, float(p), n, pos, k0, k1))
-                for k in {k0, k1}:
-                    open_.append((kv, k, r["__lo"], r["__hi"], 0))
-        win_schema = T.StructType(key_fields + [
-            T.StructField("__k", T.LongType()), T.StructField("__lo", T.DoubleType()),
-            T.StructField("__hi", T.DoubleType()), T.StructField("__before", T.LongType())])
-
-        def windows(rows):
-            # one row per target rank: bounded by groups x columns x probabilities
-            return F.broadcast(spark.createDataFrame([(*kv, k, lo, hi, b) for kv, k, lo, hi, b in rows],
-                                                     win_schema))
-
-        def inside(rows):
-            return (vc.join(windows(rows), on=keys)
-                      .where((F.col("value") >= F.col("__lo")) & (F.col("value") <= F.col("__hi"))))
-
-        while open_:
-            c = inside(open_).withColumn("__bucket", equal_width_bucket("value", "__lo", "__hi", buckets))
-            bt = c.groupBy(*keys, "__k", "__before", "__bucket").agg(
-                F.sum("__cnt").alias("__bc"), F.count(F.lit(1)).alias("__nd"),
-                F.min("value").alias("__bmin"), F.max("value").alias("__bmax"))
-            wb = Window.partitionBy(*keys, "__k").orderBy("__bucket").rowsBetween(
-                Window.unboundedPreceding, -1)
-            bt = bt.withColumn("__pre", F.col("__before") + F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
-            hits = bt.where((F.col("__pre") <= F.col("__k"))
-                            & (F.col("__k") < F.col("__pre") + F.col("__bc"))).collect()
-            open_ = []
-            for h in hits:
-                row = (tuple(h[c] for c in keys), h["__k"], h["__bmin"], h["__bmax"], h["__pre"])
-                if h["__nd"] <= max_final or h["__bmin"] == h["__bmax"]:
-                    done.append(row)
-                else:
-                    open_.append(row)
-        picked = {}
-        if done:
-            wr = Window.partitionBy(*keys, "__k").orderBy("value").rowsBetween(
-                Window.unboundedPreceding, 0)
-            fin = (inside(done).withColumn("__end", F.col("__before") + F.sum("__cnt").over(wr))
-                   .where((F.col("__end") - F.col("__cnt") <= F.col("__k")) & (F.col("__k") < F.col("__end"))))
-            for r in fin.select(*keys, "__k", "value").collect():
-                picked[(tuple(r[c] for c in keys), r["__k"])] = r["value"]
+        return select_quantiles(vc, probs, g, buckets, max_final)
     finally:
         vc.unpersist()
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group..., column, value, __cnt): one pass, map-side combined."""
+    return (unpivot_values(df, cols, group_cols)
+            .groupBy(*group_cols, "column", "value").agg(F.count(F.lit(1)).alias("__cnt")))
+
+
+def select_quantiles(vc: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = (),
+                     buckets: int = DEFAULT_NUMERIC_BUCKETS,
+                     max_final: int = MAX_FINAL_BUCKET) -> DataFrame:
+    """The refining selection over a (group..., column, value, __cnt) table
+    (persist it: every round reads it). Long result as ``exact_quantiles``."""
+    g = list(group_cols)
+    keys = g + ["column"]
+    spark = vc.sparkSession
+    stats_df = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
+                                     F.max("value").alias("__hi"))
+    # size check before anything comes back: one row per (group, column)
+    stats = stats_df.limit(MAX_KEYS + 1).collect()
+    if len(stats) > MAX_KEYS:
+        raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) pairs; "
+                         "use percentile_approx for high-cardinality grouping")
+    key_fields = [vc.schema[c] for c in keys]
+    targets, open_, done = [], [], []
+    for r in stats:
+        kv = tuple(r[c] for c in keys)
+        n = r["n"]
+        for i, p in enumerate(probs):
+            pos = float(p) * float(n - 1)
+            k0, k1 = math.floor(pos), math.ceil(pos)
+            targets.append((kv, i, float(p), n, pos, k0, k1))
+            for k in {k0, k1}:
+                open_.append((kv, k, r["__lo"], r["__hi"], 0))
+    win_schema = T.StructType(key_fields + [
+        T.StructField("__k", T.LongType()), T.StructField("__lo", T.DoubleType()),
+        T.StructField("__hi", T.DoubleType()), T.StructField("__before", T.LongType())])
+
+    def windows(rows):
+        # one row per target rank: bounded by groups x columns x probabilities
+        return F.broadcast(spark.createDataFrame([(*kv, k, lo, hi, b) for kv, k, lo, hi, b in rows],
+                                                 win_schema))
+
+    def inside(rows):
+        return (vc.join(windows(rows), on=keys)
+                  .where((F.col("value") >= F.col("__lo")) & (F.col("value") <= F.col("__hi"))))
+
+    while open_:
+        c = inside(open_).withColumn("__bucket", equal_width_bucket("value", "__lo", "__hi", buckets))
+        bt = c.groupBy(*keys, "__k", "__before", "__bucket").agg(
+            F.sum("__cnt").alias("__bc"), F.count(F.lit(1)).alias("__nd"),
+            F.min("value").alias("__bmin"), F.max("value").alias("__bmax"))
+        wb = Window.partitionBy(*keys, "__k").orderBy("__bucket").rowsBetween(
+            Window.unboundedPreceding, -1)
+        bt = bt.withColumn("__pre", F.col("__before") + F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
+        hits = bt.where((F.col("__pre") <= F.col("__k"))
+                        & (F.col("__k") < F.col("__pre") + F.col("__bc"))).collect()
+        open_ = []
+        for h in hits:
+            row = (tuple(h[c] for c in keys), h["__k"], h["__bmin"], h["__bmax"], h["__pre"])
+            if h["__nd"] <= max_final or h["__bmin"] == h["__bmax"]:
+                done.append(row)
+            else:
+                open_.append(row)
+    picked = {}
+    if done:
+        wr = Window.partitionBy(*keys, "__k").orderBy("value").rowsBetween(
+            Window.unboundedPreceding, 0)
+        fin = (inside(done).withColumn("__end", F.col("__before") + F.sum("__cnt").over(wr))
+               .where((F.col("__end") - F.col("__cnt") <= F.col("__k")) & (F.col("__k") < F.col("__end"))))
+        for r in fin.select(*keys, "__k", "value").collect():
+            picked[(tuple(r[c] for c in keys), r["__k"])] = r["value"]
     out = []
     for kv, i, p, n, pos, k0, k1 in targets:
         v0, v1 = picked[(kv, k0)], picked[(kv, k1)]
