@@ -69,3 +69,20 @@ def test_rff_udf_path_matches_expression_path(spark, sf_small, monkeypatch):
     assert np.allclose(expr, udf, atol=1e-9)
     feats = d.select(rff.rff_features(F.col("features"), W, bb).alias("z")).first().z
     assert len(feats) == 8
+
+
+def test_registry_keeps_display_names(spark, sf_small, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    d = _data(spark, sf_small)
+    model = tr.fit_pipeline([LogisticRegression(maxIter=5)], d.where("split = 'train'"))
+    folder = str(tmp_path / "models")
+    path = tr.save_model(model, spark, "XGBoost", folder)
+    assert path.endswith("/xgboost")
+    tr.save_model(model, spark, "SVM RBF Optimized", folder)
+    reg = {r.model: r.slug for r in tr.model_registry(spark, folder).collect()}
+    assert reg == {"XGBoost": "xgboost", "SVM RBF Optimized": "svm_rbf_optimized"}
+    loaded = tr.load_model(spark, "XGBoost", folder)
+    test = d.where("split = 'test'")
+    a = [r.prediction for r in model.transform(test).orderBy("id").select("prediction").collect()]
+    b_ = [r.prediction for r in loaded.transform(test).orderBy("id").select("prediction").collect()]
+    assert a == b_
