@@ -152,7 +152,10 @@ def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=No
                        search: bool = True):
     """The multi-model loop: a failing model is recorded in ``errors`` and
     skipped. Returns (metrics, preds, errors, fitted models by name). The
-    metrics / errors tables have one row per model (built on the driver)."""
+    metrics / errors tables have one row per model (built on the driver).
+    ``data`` is persisted (every model reads it several times) and stays
+    persisted because ``preds`` reads it lazily; call ``data.unpersist()``
+    when the predictions are no longer needed."""
     rows, errors, fitted, preds = [], [], {}, []
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     for spec in p.specs:
