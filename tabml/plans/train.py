@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,19 +223,22 @@ def permutation_importance(model, name: str, test: DataFrame, features: list[str
                            n_repeats: int = 10, seed: int = SEED) -> DataFrame:
     """Baseline accuracy minus accuracy with one feature permuted, mean and
     std over repeats. All (feature, repeat) copies of the test rows are built
-    in one plan (``permuted_copies``), assembled and scored in ONE transform,
-    then reduced by a grouped aggregate."""
+    in one plan (``permuted_copies``), scored together with the unpermuted
+    rows in ONE transform, and reduced by a grouped aggregate; the result
+    has one row per feature."""
     base = test.select("id", "label", *features)
     copies = permuted_copies(base, features, n_repeats, seed=seed)
-    scored = model.transform(assemble(copies, features))
+    plain = base.withColumn("repeat", F.lit(-1)).withColumn("feature", F.lit(None).cast("string"))
+    scored = model.transform(assemble(copies.unionByName(plain), features))
     per = scored.groupBy("feature", "repeat").agg(
         F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("acc"))
-    baseline = model.transform(assemble(base, features)).agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("base")).first()["base"]
-    drop = F.lit(baseline) - F.col("acc")
-    return per.groupBy("feature").agg(F.avg(drop).alias("importance"),
-                                      F.stddev_pop(drop).alias("importance_std")) \
-        .select(F.lit(name).alias("model"), "feature", "importance", "importance_std")
+    # per has features x repeats + 1 rows: the baseline is its NULL-feature row
+    baseline = F.max(F.when(F.col("feature").isNull(), F.col("acc"))).over(Window.partitionBy())
+    drop = F.col("base") - F.col("acc")
+    return (per.withColumn("base", baseline).where(F.col("feature").isNotNull())
+               .groupBy("feature").agg(F.avg(drop).alias("importance"),
+                                       F.stddev_pop(drop).alias("importance_std"))
+               .select(F.lit(name).alias("model"), "feature", "importance", "importance_std"))
 
 
 # ------------------------------------------------------------- persistence
