@@ -149,22 +149,32 @@ ERRORS_SCHEMA = T.StructType([T.StructField("model", T.StringType()),
 
 
 def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=None,
-                       search: bool = True):
+                       search: bool = True, parallelism: int = 1):
     """The multi-model loop: a failing model is recorded in ``errors`` and
     skipped. Returns (metrics, preds, errors, fitted models by name). The
     metrics / errors tables have one row per model (built on the driver).
     ``data`` is persisted (every model reads it several times) and stays
     persisted because ``preds`` reads it lazily; call ``data.unpersist()``
-    when the predictions are no longer needed."""
+    when the predictions are no longer needed.
+
+    ``parallelism`` > 1 runs that many models' searches at once on driver
+    threads (better use of a large cluster); each model's ``training_time``
+    then includes waiting for shared executors."""
     rows, errors, fitted, preds = [], [], {}, []
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    for spec in p.specs:
-        if names and spec.name not in names:
-            continue
+    specs = [s for s in p.specs if not names or s.name in names]
+
+    def run(spec):
         try:
-            r = evaluate_model(spec, data, p, search)
+            return spec, evaluate_model(spec, data, p, search), None
         except Exception as e:  # noqa: BLE001 -- recorded, as in the reference loop
-            errors.append((spec.name, f"{type(e).__name__}: {e}"[:1000]))
+            return spec, None, f"{type(e).__name__}: {e}"[:1000]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(run, specs))        # keeps the models' order
+    for spec, r, err in results:
+        if err is not None:
+            errors.append((spec.name, err))
             continue
         fitted[spec.name] = r.pop("fitted")
         preds.append(r.pop("preds"))

@@ -86,3 +86,14 @@ def test_registry_keeps_display_names(spark, sf_small, tmp_path):
     a = [r.prediction for r in model.transform(test).orderBy("id").select("prediction").collect()]
     b_ = [r.prediction for r in loaded.transform(test).orderBy("id").select("prediction").collect()]
     assert a == b_
+
+
+def test_parallel_loop_keeps_order_and_results(spark, sf_small):
+    p = md.preset("check")
+    p.specs = [md.spec_by_name(p, "SGD Classifier"), md.spec_by_name(p, "Random Forest Optimized")]
+    d = _data(spark, sf_small)
+    m1, _, _, _ = tr.train_and_evaluate(spark, d, p, search=False)
+    m2, _, _, _ = tr.train_and_evaluate(spark, d, p, search=False, parallelism=2)
+    a = [(r.model, r.test_accuracy) for r in m1.collect()]
+    b_ = [(r.model, r.test_accuracy) for r in m2.collect()]
+    assert a == b_ and [x[0] for x in a] == ["SGD Classifier", "Random Forest Optimized"]
