@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import mixing, packing, pstable, simhash_bktree, suffix_refine
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,5 +25,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op1_packing": op1_packing}
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicate groups of all documents: 3-word shingles, 3 bits."""
+    rows = simhash_bktree.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings: equal label, cosine of 0.98 or more."""
+    return pstable.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that strings of 400 bytes occurring elsewhere cover."""
+    rows = suffix_refine.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all documents, sources weighing 5, 2, 1 in turn, takes of each."""
+    rows = mixing.mix(_table(spark, sf_dir, "documents")).documents
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_simhash": op2_simhash,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
+    "op10_mixing": op10_mixing,
+}
 SQL: dict[str, str] = {}
