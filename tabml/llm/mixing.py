@@ -127,13 +127,6 @@ def _slots(spark, blocks: np.ndarray, quota: np.ndarray, shard_slots: int, seed:
             .mapInPandas(run, "shard long, position long, ix int, pass long, block long"))
 
 
-def row_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Adds (row_hash, dup), which name a row by its id and text and number equal rows."""
-    order = W.partitionBy("row_hash").orderBy(id_col)
-    return (docs.withColumn("row_hash", F.xxhash64(id_col, text_col))
-            .withColumn("dup", F.row_number().over(order)))
-
-
 def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block: int = 128,
         shard_slots: int = 8192, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> Mix:
@@ -189,3 +182,45 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block:
             .select("row_hash", "dup", "doc_id", "source", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken")))
     return Mix(rows, pieces.select("shard", "position", "source", "pass", "block", "row_hash", "dup", "doc_id", "start", "n_words"))
+
+
+def mixed_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with what ``mixed`` takes of them for a text: a row for each pass over a document.
+
+    Words that lie next to each other keep the white space between them; gaps, where a
+    pass skips a block, become a space. Rows of which nothing is taken are gone.
+    """
+    takes = (mixed.pieces.groupBy("row_hash", "dup", "pass").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
+             .groupBy("row_hash", "dup").agg(F.collect_list(F.struct("pass", "spans")).alias("takes"))
+             .withColumnsRenamed({"row_hash": "key_hash", "dup": "key_dup"}))
+    rest = [c for c in docs.columns if c != text_col]
+    plain = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                        F.struct(*rest).alias("rest"))
+    plain = plain.withColumn("number", F.row_number().over(W.partitionBy("key").orderBy("id")))
+    joined = (plain.join(takes, (plain.key == takes.key_hash) & (plain.number == takes.key_dup))
+              .select("text", "takes", "rest"))
+
+    def cut(batches):
+        import re
+
+        import pyarrow as pa
+
+        word = re.compile(WORD)
+        for batch in batches:
+            own, texts = [], []
+            for i, (text, passes) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                at = [m.span() for m in word.finditer(text)]
+                for one in sorted(passes, key=lambda p: p["pass"]):
+                    runs: list[list[int]] = []
+                    for s in sorted(one["spans"], key=lambda s: s["start"]):
+                        if runs and runs[-1][1] == s["start"]:
+                            runs[-1][1] += s["n_words"]
+                        else:
+                            runs.append([s["start"], s["start"] + s["n_words"]])
+                    own.append(i)
+                    texts.append(" ".join(text[at[a][0]:at[b - 1][1]] for a, b in runs))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(2).take(pa.array(own, pa.int32()))], names=["text", "rest"])
+
+    schema = joined.select("text", "rest").schema
+    out = joined.mapInArrow(cut, schema)
+    return out.select(*[F.col("text").alias(text_col) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])

@@ -123,18 +123,19 @@ class LevelPacker:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1,
-         id_col: str = "doc_id", text_col: str = "text", max_open: int = 4096) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", max_open: int = 4096, as_list: bool = False) -> DataFrame:
     """Pack the token ids of all documents into windows of at most ``window`` ids.
 
-    One row per piece: ``doc_id, start, length, ids (binary, little-endian uint32),
-    doc_tokens, sequence_id, offset``. A null text is an empty text: its document
+    One row per piece: ``doc_id, start, length, ids (binary, little-endian uint32, or with
+    as_list array<int>), doc_tokens, sequence_id, offset``. A null text is an empty text: its document
     is the end id alone. A null id is kept as it is; repeated rows are separate
     documents; other columns are not read. An empty table gives no rows.
     """
     kind = docs.schema[id_col].dataType
     schema = T.StructType([
         T.StructField("doc_id", kind), T.StructField("start", T.LongType()),
-        T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType()) if as_list else T.BinaryType()),
         T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType())])
 
@@ -144,16 +145,15 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
         def emit(pieces):
             seq, at = spare[0], 0
             for doc, start, ids, n in pieces:
-                out.append((doc, start, len(ids), ids.tobytes(), n, seq, at))
+                out.append((doc, start, len(ids), ids.astype(np.int32) if as_list else ids.tobytes(), n, seq, at))
                 at += len(ids)
             spare[0] += 1
 
         def rows(kind):
             cols = [list(c) for c in zip(*out)]
             out.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], kind), *(pa.array(c) for c in cols[1:])],
-                names=schema.fieldNames())
+            types = [kind, pa.int64(), pa.int64(), pa.list_(pa.int32()) if as_list else pa.binary(), *[pa.int64()] * 3]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=schema.fieldNames())
 
         packer, kind = LevelPacker(window, emit, max_open), None
         for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pstable, simhash_bktree, suffix_refine
+from . import cws, html_layout, langid, mixing, packing, pstable, qda, simhash_bktree, substring_units, suffix_refine
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All visible text of all pages, laid out."""
+    rows = html_layout.extract_text(_table(spark, sf_dir, "pages"), carry=["url"])
+    return rows.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines and sentences that an earlier one holds."""
+    rows = substring_units.drop_repeats(_table(spark, sf_dir, "documents"), min_words=5)
+    return rows.select("doc_id", "text", "kept", "removed", F.size("removed").cast("long").alias("n_removed"),
+                       F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s.end - s.start).alias("removed_chars"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted-sampling fingerprints of all documents and of their edited texts."""
+    return cws.fingerprint_edits(_table(spark, sf_dir, "documents"), samples=64)
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings: equal label, cosine of 0.98 or more."""
     return pstable.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
@@ -43,6 +61,24 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all pages (markup language, address) and all documents (lang and source in their place)."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    langs, table = langid.learn(docs, "text", "lang")
+    host, domain, suffix = langid.host_parts(F.col("url"))
+    texts = html_layout.extract_text(pages.withColumns({"declared": langid.declared_language(F.col("html")), "suffix": suffix, "domain": domain, "host": host}),
+                                     carry=["declared", "suffix", "domain", "host"])
+    records = (texts.withColumn("doc_id", F.lit(None).cast("long"))
+               .unionByName(docs.select(F.lit(None).cast("long").alias("page_id"), "doc_id", "text", F.col("lang").alias("declared"),
+                                        F.lit(None).cast("string").alias("suffix"), F.lit(None).cast("string").alias("domain"), F.col("source").alias("host"))))
+    return langid.identify(records, langs, table).withColumn("accepted", langid.accepted())
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels.quality outside the held-out fold."""
+    return qda.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents, sources weighing 5, 2, 1 in turn, takes of each."""
     rows = mixing.mix(_table(spark, sf_dir, "documents")).documents
@@ -52,8 +88,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_html_text": op3_html_text,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {}

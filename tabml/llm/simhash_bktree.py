@@ -51,17 +51,20 @@ def simhash(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint's 64 bits as a long, 0 for null or wordless texts."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``(doc_id, fp)`` and the columns of ``carry`` for every row; ``fp`` is the fingerprint's 64 bits as a long,
+    0 for null or wordless texts."""
+    carry = carry or []
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
+    schema = T.StructType([plain.schema["doc_id"], T.StructField("fp", T.LongType()), *plain.schema.fields[2:]])
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             fp = [simhash(t.as_py() or b"", shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]], names=schema.fieldNames())
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).select("doc_id", "fp", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)])
 
 
 class BkTree:
@@ -196,19 +199,20 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``.
+                    id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``(doc_id, fp, component, component_id)`` and the columns of ``carry`` for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of at most
     ``radius`` differing bits, the row's own included. Null and wordless texts
     have fingerprint zero and link like any other. Rows with a null id take part
-    and never name a component unless it has no id at all (null). Repeated rows
+    and never name a component, which has a null ``component_id`` if all its ids are null;
+    ``component``, one of its fingerprints, tells components apart in any case. Repeated rows
     stay separate rows of one component; other columns are not read.
     """
-    fps = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    fps = stored(fingerprints(docs, shingle, id_col, text_col, carry), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = components(links(distinct, radius)).withColumnRenamed("node", "fp")
     known = distinct.join(nodes, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = stored(known.join(named, "component").select("fp", "component_id"), "names")
-    return fps.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = stored(known.join(named, "component").select("fp", "component", "component_id"), "names")
+    return fps.join(names, "fp").select("doc_id", "fp", "component", "component_id", *(carry or []))
