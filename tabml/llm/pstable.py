@@ -109,7 +109,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = 24,
         for batch in batches:
             lists = batch.column(0)
             lengths = np.diff(lists.offsets.to_numpy())
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).copy()
             starts = np.cumsum(lengths) - lengths
             label = batch.column(1).to_numpy()
             keys = np.zeros((len(lengths), tables), np.uint64)
