@@ -36,7 +36,7 @@ def test_counts_match_a_plain_count(make_docs):
 def test_fusion(make_docs):
     langs, table = model(make_docs)
     data = [(i, EN, "en", "hosten") for i in range(40)] + [(100 + i, DE, "de", "hostde") for i in range(40)]
-    data += [(200, EN, "de", "hosten"),  # text against what is declared
+    data += [(200, "the fox", "de", "hosten"), (208, "the fox", "en", "hosten"),  # text against what is declared
              (201, "", "de", "hostde"), (202, None, "en", "hosten"), (203, None, None, "hostde"),  # no text: declared and host decide
              (204, "12345 67890 #### $$$$ %%%%", None, None), (205, EN, None, None), (206, EN * 3000, "xx", "new"), (207, EN, "en", "hosten"), (207, EN, "en", "hosten")]
     out = langid.identify(records(make_docs(data)), langs, table).withColumn("accepted", langid.accepted())
@@ -47,7 +47,7 @@ def test_fusion(make_docs):
     assert sum(map(len, rows.values())) == len(data) and len(rows[207]) == 2
     for i in range(40):
         assert rows[i][0].language == "en" and rows[100 + i][0].language == "de" and rows[i][0].accepted
-    assert rows[200][0].language == "en" and rows[200][0].confidence < rows[0][0].confidence
+    assert rows[200][0].language == "en" and rows[200][0].confidence < rows[208][0].confidence
     assert rows[201][0].language == "de" and rows[202][0].language == "en" and rows[203][0].language == "de"
     for i in (201, 202, 203, 204):
         assert rows[i][0].evidence == 0 and rows[i][0].lang_text is None and not rows[i][0].accepted
