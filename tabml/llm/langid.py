@@ -1,7 +1,8 @@
 """Language by Bayesian fusion of text, declared language, address suffix and host.
 
 The text's likelihood under each language comes from hashed character trigrams
-(three bytes), counted over all training texts. What a declared language or an
+(three bytes), counted over all training texts, once in each, so that no long or
+repetitive text speaks for its language alone. What a declared language or an
 address suffix says is learned from the records themselves: how often each
 value goes with the language that the texts point to. A host's prior is smoothed
 towards its domain's, that towards its suffix's and that towards the global
@@ -71,7 +72,9 @@ def _slices(column: pa.Array):
 
 
 def learn(texts: DataFrame, text_col: str, lang_col: str, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
-    """Languages and their log trigram probabilities (languages x buckets), counted over all rows with a language."""
+    """Languages and their log trigram probabilities (languages x buckets), counted over all rows with a language.
+
+    A trigram's count is the number of texts that hold it. Rows without a language or text teach nothing."""
     rows = texts.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
 
     def count(batches):
@@ -80,7 +83,9 @@ def learn(texts: DataFrame, text_col: str, lang_col: str, smoothing: float = 0.5
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             names, which = np.unique(langs.astype(str), return_inverse=True)
             for at, n, codes, row, _ in _slices(batch.column(1)):
-                c = np.bincount(which[at:at + n][row] * BUCKETS + codes, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
+                once = np.unique(row * BUCKETS + codes)
+                own_lang = which[at:at + n][once // BUCKETS]
+                c = np.bincount(own_lang * BUCKETS + once % BUCKETS, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
                 for name, own in zip(names, c):
                     total[name] = total.get(name, 0) + own
         for name, own in total.items():

@@ -27,7 +27,7 @@ from .store import stored
 #: Words, as the library counts them.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one ordered run of a source's stream, about.
-RUN_DOCS = 20_000
+RUN_DOCS = 2_000
 #: Shards whose counts one task draws, in order.
 GROUP_SHARDS = 256
 

@@ -240,15 +240,15 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     """``(doc_id, row_hash, first, end)``: byte spans of ``docs`` (doc_id, row_hash, text) that repeated windows
     cover; they may overlap."""
     runs = stored(_runs(docs, length), "runs")
-    shared = runs.groupBy("gram").count().where("count > 1").select("gram")
+    # a table of its own: else its partitioning by gram would bind the join to one task for a hot gram
+    shared = stored(runs.groupBy("gram").count().where("count > 1").select("gram"), "shared-grams")
     runs = stored(runs.join(shared, "gram", "left_semi"), "shared-runs")
     kinds = stored(runs.groupBy("gram", "whole").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc_id", "row_hash", "first", "last")).alias("one")), "run-kinds")
     spans = (runs.join(kinds.where("copies > 1").select("gram", "whole"), ["gram", "whole"], "left_semi")
              .select("doc_id", "row_hash", F.col("first").cast("long").alias("first"),
                      (F.col("last") + length).cast("long").alias("end")))
-    several = (kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
-               .where("kinds > 1").select("gram"))
+    several = stored(kinds.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1").select("gram"), "mixed-grams")
     mixed = kinds.join(several, "gram", "left_semi").select("gram", "copies", "one.*")
     # a repeated row's runs have copies, so the rows of one copy, which are judged below, come once
     texts = docs.select("row_hash", F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
