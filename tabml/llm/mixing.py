@@ -28,8 +28,8 @@ from .store import stored
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one ordered run of a source's stream, about.
 RUN_DOCS = 2_000
-#: Shards whose counts one task draws, in order.
-GROUP_SHARDS = 256
+#: Shards whose counts one task draws in order: at least so many, and no more groups than GROUPS.
+GROUP_SHARDS, GROUPS = 16, 4096
 
 
 @dataclass
@@ -95,7 +95,8 @@ def permuted(index: np.ndarray, n: int, key: np.ndarray) -> np.ndarray:
 
 def _slots(spark, blocks: np.ndarray, quota: np.ndarray, shard_slots: int, seed: int) -> DataFrame:
     """``(shard, position, ix, pass, block)`` for all slots."""
-    total, group = int(quota.sum()), shard_slots * GROUP_SHARDS
+    total = int(quota.sum())
+    group = shard_slots * max(GROUP_SHARDS, -(-total // (shard_slots * GROUPS)))
     left, rng, rows, at = quota.copy(), np.random.default_rng([seed, 1]), [], 0
     while at < total:
         n = draw(rng, left, min(group, total - at))
@@ -175,7 +176,8 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block:
              .withColumn("start", F.greatest(F.col("block") * block - F.col("begin"), F.lit(0)))
              .withColumn("n_words", F.least(F.col("size"), (F.col("block") + 1) * block - F.col("begin")) - F.col("start"))
              .select("ix", "block", "source", "row_hash", "dup", "doc_id", "begin", "start", "n_words"))
-    slots = _slots(spark, blocks, quota, shard_slots, seed)
+    # the few rows that the slots are drawn from mislead the planner's estimate of their size, so it is told not to broadcast them
+    slots = _slots(spark, blocks, quota, shard_slots, seed).hint("merge")
     pieces = slots.join(spans, ["ix", "block"])
     taken = pieces.groupBy("ix", "begin").agg(F.sum("n_words").alias("taken"))
     rows = (placed.join(taken.withColumn("some", F.lit(1)), ["ix", "begin"], "left")
