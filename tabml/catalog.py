@@ -4,6 +4,7 @@ for the keys that have one."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from pyspark.ml.classification import LogisticRegression
 from tabml.plans import models as md
 from tabml.plans import train as tr
 from tabml.plans.ml_frame import assemble, to_preds
+from tabml.session import work_dir
 from tabml.sources import bindings as b
 from tabml.sources.tables import read_table, scan_labelled, table_path
 from tabml.streaming.score_stream import score_available
@@ -486,22 +488,29 @@ def q_score_batch(spark, d):
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, d):
-    """Save a fitted pipeline under its slug (and in the registry), load it
-    back by name, and count the test rows whose prediction changed
-    (expected 0)."""
-    name = "Logistic Regression"
-    data = _ml(spark, d, 3)
-    test = data.where("split = 'test'")
-    model = tr.fit_pipeline([LogisticRegression()], data.where("split = 'train'"))
-    tr.save_model(model, spark, name)
-    loaded = tr.load_model(spark, name)
-    entry = tr.model_registry(spark).where(F.col("model") == name).select("model", "slug")
-    a = model.transform(test).select("id", "features", F.col("prediction").alias("p_a"))
-    both = loaded.transform(a).select("p_a", "prediction")
-    c = both.agg(F.count(F.lit(1)).alias("n_scored"),
-                 F.count_if(F.col("p_a") != F.col("prediction")).alias("n_mismatch")).first()
-    return entry.select("model", "slug", F.lit(c["n_scored"]).cast("bigint").alias("n_scored"),
-                        F.lit(c["n_mismatch"]).cast("bigint").alias("n_mismatch"))
+    """Save each of the seven learners with its scaler under its slug (and in
+    the registry), load it back by name, score unscaled test rows, and count
+    those whose prediction is not that of the learner on scaled rows
+    (expected 0): one row per learner."""
+    folder = work_dir(spark, f"models-{uuid.uuid4().hex}")
+    p = md.preset(CHECK)
+    raw = b.folded(spark, d, k=p.folds)
+    train = raw.where("split = 'train'")
+    scaler = sc.fit_scaler(train.select(*b.FEATURES), b.FEATURES)
+    ready = assemble(sc.apply_scaler(raw, scaler), b.FEATURES).withColumn("label", F.col("label").cast("double"))
+    test = raw.where("split = 'test'")
+    both = None
+    for spec in p.specs:
+        model = tr.fit_default(spec, ready.where("split = 'train'"))
+        tr.save_model(tr.scoring_unit(scaler, b.FEATURES, model), spark, spec.name, folder)
+        loaded = tr.load_model(spark, spec.name, folder)
+        a = model.transform(ready.where("split = 'test'")).select("id", F.col("prediction").alias("p_a"))
+        one = (loaded.transform(test).select("id", "prediction").join(a, "id", "full")
+               .select(F.lit(spec.name).alias("model"), "p_a", "prediction"))
+        both = one if both is None else both.unionByName(one)
+    counts = both.groupBy("model").agg(F.count(F.lit(1)).alias("n_scored"),
+                                       F.count_if(~F.col("p_a").eqNullSafe(F.col("prediction"))).alias("n_mismatch"))
+    return tr.model_registry(spark, folder).select("model", "slug").join(counts, "model")
 
 
 @query("score_stream")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions.exprs import CLASS_NAMES, class_name, nan_to_null, safe_div
@@ -51,10 +51,16 @@ def class_distribution(df: DataFrame, label_col: str = "label", names=CLASS_NAME
                          "n", _r(safe_div("n", total)).alias("share"))
 
 
+def _missing(df: DataFrame, c: str) -> Column:
+    """NULL, or NaN in a column of a floating type; columns of any type are fine."""
+    null = F.col(c).isNull()
+    return null | F.isnan(c) if df.schema[c].dataType.typeName() in ("double", "float") else null
+
+
 def missing_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, n_missing, frac_missing) from one wide aggregate."""
     aggs = [F.count(F.lit(1)).alias("__n")] + [
-        F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"m{i}")
+        F.count_if(_missing(df, c)).alias(f"m{i}")
         for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
     stack = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("n_missing"))
@@ -67,7 +73,7 @@ def missing_cells(df: DataFrame, cols: Sequence[str], id_col: str = "id") -> Dat
     """The missing cells themselves: (id, column). Output size = number of
     missing cells; rows are unpivoted lazily and filtered in the same stage."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"),
-                               (F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias("miss"))
+                               _missing(df, c).alias("miss"))
                       for c in cols])
     return (df.select(id_col, F.inline(cells)).where("miss").select(id_col, "column"))
 
@@ -83,9 +89,10 @@ def feature_ranges(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> dict:
     """{column: (mean, scale)} with population std; zero std -> scale 1.
-    A fit: one aggregate, d values collected."""
-    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    NaN counts as missing. A fit: one aggregate, d values collected."""
+    x = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    row = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(x)],
+                 *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(x)]).first()
     out = {}
     for i, c in enumerate(cols):
         m, s = row[f"m{i}"], row[f"s{i}"]
@@ -136,49 +143,25 @@ def box_outliers(df: DataFrame, cols: Sequence[str], id_col: str = "id",
              .select(id_col, "column", _r(F.col("value")).alias("z")))
 
 
-WIDE_CORRELATION = 8   # columns; above this the moment-vector path is used
-
-
-def correlation_matrix(df: DataFrame, cols: Sequence[str], wide: bool | None = None) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair over pairwise-complete rows (like
-    pandas), NULL for a constant column (never an ANSI division error).
-
-    Narrow tables: one aggregate of covar_pop / stddev_pop per pair. Wide
-    tables: each task computes the pairwise-complete moment matrices of its
-    rows with numpy (counts, sums, sums of squares and cross products, each
-    restricted to rows where both columns are present), and one aggregate
-    sums the per-task matrices -- instead of thousands of aggregate
-    functions. Values are centred on the column means first (moments are
-    shift-invariant), so the sum-of-products form does not cancel
-    catastrophically."""
+    pandas; NaN is missing), NULL for a constant column (never an ANSI
+    division error).
+
+    Each task computes the pairwise-complete moment matrices of its rows with
+    numpy (counts, sums, sums of squares and cross products, each restricted
+    to rows where both columns are present), and one aggregate sums the
+    per-task matrices. Values are centred on the column means first (moments
+    are shift-invariant), so the sum-of-products form does not cancel
+    catastrophically. The result, d^2 numbers, passes the driver."""
     cols = list(cols)
-    if wide is None:
-        wide = len(cols) > WIDE_CORRELATION
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    if wide:
-        vals = _wide_corr(df, cols, pairs)
-        rows = []
-        for (i, j), v in vals.items():
-            for a, b in {(i, j), (j, i)}:
-                rows.append((cols[a], cols[b], a, b, v))
-        long = df.sparkSession.createDataFrame(
-            rows, "col_i string, col_j string, i int, j int, corr double")
-        return long.select("col_i", "col_j", "i", "j", _r(F.col("corr")).alias("corr"))
-    aggs = []
-    for i, j in pairs:
-        a, b = cols[i], cols[j]
-        x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-        y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-        aggs += [F.covar_pop(x, y).alias(f"c_{i}_{j}"), F.stddev_pop(x).alias(f"sx_{i}_{j}"),
-                 F.stddev_pop(y).alias(f"sy_{i}_{j}")]
-    wide_row = df.agg(*aggs)
-    entries = []
-    for i, j in pairs:
-        corr = F.try_divide(F.col(f"c_{i}_{j}"), F.col(f"sx_{i}_{j}") * F.col(f"sy_{i}_{j}"))
+    rows = []
+    for (i, j), v in _moment_corr(df, cols, pairs).items():
         for a, b in {(i, j), (j, i)}:
-            entries.append(F.struct(F.lit(cols[a]).alias("col_i"), F.lit(cols[b]).alias("col_j"),
-                                    F.lit(a).alias("i"), F.lit(b).alias("j"), corr.alias("corr")))
-    long = wide_row.select(F.inline(F.array(*entries)))
+            rows.append((cols[a], cols[b], a, b, v))
+    long = df.sparkSession.createDataFrame(
+        rows, "col_i string, col_j string, i int, j int, corr double")
     return long.select("col_i", "col_j", "i", "j", _r(F.col("corr")).alias("corr"))
 
 
@@ -205,7 +188,7 @@ def _moment_partials(cols: list, means: list):
     return fn
 
 
-def _wide_corr(df: DataFrame, cols: list, pairs: list) -> dict:
+def _moment_corr(df: DataFrame, cols: list, pairs: list) -> dict:
     """{(i, j): corr}: numpy moment matrices per task (Arrow batches in,
     4 d^2 numbers out per task), summed by one ``Summarizer`` aggregate."""
     import math
@@ -243,9 +226,10 @@ def segment_importance(df: DataFrame, cols: Sequence[str], segment_col: str,
     inside each segment: one grouped aggregate (partial aggregation keeps one
     row per segment per task), unpivoted after aggregation."""
     aggs = []
+    y = nan_to_null(F.col(label_col).cast("double"))
     for i, c in enumerate(cols):
-        corr = F.try_divide(F.covar_pop(c, label_col),
-                            F.stddev_pop(c) * F.stddev_pop(F.col(label_col).cast("double")))
+        x = nan_to_null(F.col(c).cast("double"))
+        corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         aggs.append(F.abs(corr).alias(f"i{i}"))
     wide = df.groupBy(F.col(segment_col).alias("model")).agg(*aggs)
     arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"i{i}").alias("importance"))

@@ -57,6 +57,19 @@ def coarse_grid() -> list[float]:
     return [k / 10 for k in range(-30, 31)]
 
 
+def widened(rows, best: dict) -> dict:
+    """Further coarse grids, beyond an end point that is a column's best lambda so far."""
+    out = {}
+    for c, lam in best.items():
+        tried = [r["lam"] for r in rows if r["column"] == c]
+        lo, hi = min(tried), max(tried)
+        if lam == hi:
+            out[c] = [round(hi + k / 10, 1) for k in range(1, 61)]
+        elif lam == lo:
+            out[c] = [round(lo - k / 10, 1) for k in range(1, 61)]
+    return out
+
+
 def fine_grid(center: float) -> list[float]:
     return [round(center + k / 100, 2) for k in range(-9, 10)]
 
@@ -106,9 +119,10 @@ def _argmax(rows, n: dict, s: dict) -> tuple[dict, dict]:
 
 
 def fit_power(df: DataFrame, cols: Sequence[str]) -> dict:
-    """{column: (lambda, mean_t, scale_t)}: lambda by a coarse grid (step 0.1
-    on [-3, 3]) refined on a 0.01 grid around the best point, then the
-    population mean / std of the transformed column.
+    """{column: (lambda, mean_t, scale_t)}: lambda by a coarse grid (step 0.1,
+    from [-3, 3] on for as long as its end point is the best) refined on a
+    0.01 grid around the best point, then the population mean / std of the
+    transformed column. A constant column is only centred (lambda 1).
 
     Works on the distinct values of each column with their counts (one
     aggregate, persisted for the two grid passes), so low-cardinality
@@ -126,15 +140,21 @@ def fit_power(df: DataFrame, cols: Sequence[str]) -> dict:
         n = {c: mom[c]["n"] for c in live}
         s = {c: mom[c]["s"] for c in live}
         means = {c: mom[c]["mean"] for c in live}
-        lam1, _ = _argmax(_lambda_sums(vc, {c: coarse_grid() for c in live}, means), n, s)
+        rows = _lambda_sums(vc, {c: coarse_grid() for c in live}, means)
+        lam1, _ = _argmax(rows, n, s)
+        while more := widened(rows, lam1):   # until every best lambda has neighbours on both sides
+            rows += _lambda_sums(vc, more, means)
+            before, (lam1, _) = lam1, _argmax(rows, n, s)
+            if all(lam1[c] == before[c] for c in more):
+                break
         fine = {c: fine_grid(lam1[c]) if c in lam1 else [1.0] for c in live}
         lam2, rows = _argmax(_lambda_sums(vc, fine, means), n, s)
     finally:
         vc.unpersist()
     out = {}
     for c in cols:
-        if c not in lam2:
-            out[c] = (1.0, 0.0, 1.0)
+        if c not in lam2:   # constant, or without values
+            out[c] = (1.0, means.get(c, 0.0), 1.0)
             continue
         r = rows[c]
         shift = _yj_scalar(means[c], lam2[c])

@@ -68,7 +68,7 @@ def allocation_from_counts(cls: DataFrame, test_size: float = 0.2) -> DataFrame:
 def stratified_split(df: DataFrame, label_col: str = "label", key_col: str = "h",
                      test_size: float = 0.2, split_col: str = "split") -> DataFrame:
     """Adds ``split`` ('train' / 'test') and ``rn`` (rank of the row's hash
-    inside its class). Rows with a NULL label get no split (NULL)."""
+    inside its class). Rows with a NULL label stay, with a NULL split and rank."""
     ranked, totals = hash_rank(df.where(F.col(label_col).isNotNull()), [label_col], key_col,
                                out="rn", return_totals=True)
     # class sizes from the rank's bucket totals: no second pass over the rows
@@ -78,8 +78,9 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_col: str = "h"
     a = alloc.select(F.col("label").alias(label_col), "n_test_c", "train_offset")
     # alloc has one row per class: broadcast is bounded by the label domain.
     out = ranked.join(F.broadcast(a), on=label_col)
-    return (out.withColumn(split_col, F.when(F.col("rn") <= F.col("n_test_c"), F.lit("test"))
-                           .otherwise(F.lit("train"))))
+    out = out.withColumn(split_col, F.when(F.col("rn") <= F.col("n_test_c"), F.lit("test"))
+                         .otherwise(F.lit("train")))
+    return out.unionByName(df.where(F.col(label_col).isNull()), allowMissingColumns=True)
 
 
 def stratified_kfold(split_df: DataFrame, k: int = 5, label_col: str = "label",

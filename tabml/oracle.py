@@ -633,8 +633,10 @@ SELECT 'Random Forest Optimized' AS model, 2 AS n_candidates, 3 AS n_folds, coun
 FROM folded WHERE split = 'test'""")
 
 register("model_roundtrip", TEST3 + """
-SELECT 'Logistic Regression' AS model, 'logistic_regression' AS slug, count(*) AS n_scored,
-       CAST(0 AS BIGINT) AS n_mismatch FROM folded WHERE split = 'test'""")
+SELECT model, lower(replace(model, ' ', '_')) AS slug,
+       (SELECT count(*) FROM folded WHERE split = 'test') AS n_scored, CAST(0 AS BIGINT) AS n_mismatch
+FROM (VALUES ('XGBoost'), ('Random Forest Optimized'), ('Neural Network'), ('AdaBoost'), ('SVM RBF Optimized'),
+             ('SGD Classifier'), ('Stacking Enhanced')) t(model)""")
 
 register("score_stream", """
 SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_invalid_scores FROM lineitem""")

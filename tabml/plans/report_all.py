@@ -64,7 +64,7 @@ def run_all(spark: SparkSession, labelled: DataFrame, features: Sequence[str], p
                 write_result(df, path)
                 status.append((name, spark.read.parquet(path).count(), None))
             except Exception as e:  # noqa: BLE001 -- recorded per report
-                status.append((name, None, f"{type(e).__name__}: {e}"[:500]))
+                status.append((name, None, f"{type(e).__name__}: {e}"))
     finally:
         for x in ins:
             x.unpersist()

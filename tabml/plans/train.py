@@ -19,15 +19,18 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabml.operators.evaluate import model_metrics
-from tabml.operators.scale import scale_split
+from tabml.operators.scale import apply_scaler, scale_split
 from tabml.operators.split import fold_train_ranks, learning_curve_sizes, permuted_copies
 from tabml.plans.ml_frame import assemble, feature_dim, to_preds
 from tabml.plans.models import ModelSpec, Preset
@@ -71,11 +74,7 @@ def random_search(spec: ModelSpec, train: DataFrame, n_iter: int, folds: int,
                   seed: int = SEED, parallelism: int = 4) -> SearchResult:
     d = feature_dim(train)
     est = spec.build(d)
-    cands = sample_params(spec.grid, n_iter, seed)
-    if len(cands) == 1:
-        # a single candidate needs no cross-validation to be chosen
-        model = est.fit(train, spec.param_map(est, cands[0], d))
-        return SearchResult(model, cands[0], 1, [])
+    cands = sample_params(spec.effective_grid(), n_iter, seed)
     maps = [spec.param_map(est, c, d) for c in cands]
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
                         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
@@ -90,7 +89,7 @@ def random_search(spec: ModelSpec, train: DataFrame, n_iter: int, folds: int,
 def fit_default(spec: ModelSpec, train: DataFrame, combo: dict | None = None):
     d = feature_dim(train)
     est = spec.build(d)
-    combo = combo if combo is not None else _combos(spec.grid)[0]
+    combo = combo if combo is not None else _combos(spec.effective_grid())[0]
     return est.fit(train, spec.param_map(est, combo, d))
 
 
@@ -168,7 +167,7 @@ def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=No
         try:
             return spec, evaluate_model(spec, data, p, search), None
         except Exception as e:  # noqa: BLE001 -- recorded, as in the reference loop
-            return spec, None, f"{type(e).__name__}: {e}"[:1000]
+            return spec, None, f"{type(e).__name__}: {e}"
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(run, specs))        # keeps the models' order
@@ -276,11 +275,33 @@ def model_registry(spark: SparkSession, folder: str | None = None) -> DataFrame:
         .select("model", "e.slug", "e.path")
 
 
-def load_model(spark: SparkSession, name: str, folder: str | None = None) -> PipelineModel:
+def load_model(spark: SparkSession, name: str, folder: str | None = None):
+    """The saved model of a name, whatever its class."""
     row = model_registry(spark, folder).where(F.col("model") == name).first()
     if row is None:
         raise KeyError(f"no saved model named {name!r}")
-    return PipelineModel.load(row["path"])
+    return DefaultParamsReader.loadParamsInstance(row["path"], spark)
+
+
+class ScalerModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted scaler as a pipeline stage: scales its columns in place."""
+
+    fitted = Param(Params._dummy(), "fitted", "JSON of [method, {column: numbers}]",
+                   typeConverter=TypeConverters.toString)
+
+    def __init__(self, fitted: tuple[str, dict] | None = None):
+        super().__init__()
+        if fitted is not None:
+            self._set(fitted=json.dumps(fitted))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        method, params = json.loads(self.getOrDefault(self.fitted))
+        return apply_scaler(df, (method, params))
+
+
+def scoring_unit(scaler: tuple[str, dict], features, model) -> PipelineModel:
+    """Scaler, assembler and learner as one model that scores unscaled rows; it saves and loads as a whole."""
+    return PipelineModel([ScalerModel(scaler), VectorAssembler(inputCols=list(features), outputCol="features"), model])
 
 
 def load_pipeline(path: str) -> PipelineModel:

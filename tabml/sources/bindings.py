@@ -139,11 +139,11 @@ def documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOC_LENGTH_RULE = 2000
 
 
-EMBED_DIMS = 16
+EMBED_DIMS = 64
 
 
 def embedding_columns(spark: SparkSession, sf_dir: str, dims: int = EMBED_DIMS) -> DataFrame:
-    """The first ``dims`` embedding coordinates as double columns e0..e{dims-1}
+    """The ``dims`` embedding coordinates as double columns e0..e{dims-1}
     plus a binary label (class < 5): a wide numeric table."""
     e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
     return e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)],

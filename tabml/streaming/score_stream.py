@@ -42,8 +42,9 @@ def start_scoring(spark: SparkSession, source: str, schema, transform: Callable[
 
 def score_available(spark: SparkSession, source: str, schema,
                     transform: Callable[[DataFrame], DataFrame], glob: str | None = None,
-                    timeout_s: int = 600) -> DataFrame:
-    """Run the stream over the files available now and return the sink table."""
+                    timeout_s: int | None = None) -> DataFrame:
+    """Run the stream over the files available now and return the sink table.
+    Waits for as long as it takes unless a time limit is given."""
     q, path = start_scoring(spark, source, schema, transform, glob=glob)
     q.awaitTermination(timeout_s)
     if q.isActive:

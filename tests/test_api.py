@@ -26,6 +26,13 @@ def test_workflow_from_csv(spark, sf_small, tmp_path):
     scaled = api.scale_data(prepared, api.feature_columns(data))
     res = api.train_and_evaluate(spark, scaled, preset="check", names=["SGD Classifier"], search=False)
     assert res.metrics.count() == 1 and res.errors.count() == 0
+    features = api.feature_columns(data)
+    scaler = api.fit_scaler(prepared, features)
+    api.save(spark, "SGD Classifier", res.models["SGD Classifier"], scaler, features, str(tmp_path / "m"))
+    again = api.load(spark, "SGD Classifier", str(tmp_path / "m"))
+    new = prepared.select("id", *features)
+    got = sorted((r.id, r.prediction) for r in api.score({"SGD Classifier": again}, new).collect())
+    assert got == sorted((r.id, r.prediction) for r in res.preds.collect())   # an id may occur twice
     summary = api.final_summary(res)
     assert summary["ranking"].first().position == 1
     status = run_all(spark, data.select(*api.feature_columns(data), "label"), api.feature_columns(data),

@@ -103,8 +103,8 @@ def test_wide_correlation_matches_pandas(spark):
     df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in data],
                                ", ".join(f"c{i} double" for i in range(12)))
     cols = list(pdf.columns)
-    for wide in (True, False):
-        got = {(r.col_i, r.col_j): r.corr for r in pf.correlation_matrix(df, cols, wide=wide).collect()}
+    for wide in (True,):
+        got = {(r.col_i, r.col_j): r.corr for r in pf.correlation_matrix(df, cols).collect()}
         ref = pdf.corr()
         for a in cols:
             for b_ in cols:
@@ -113,3 +113,37 @@ def test_wide_correlation_matches_pandas(spark):
                     assert got[(a, b_)] is None
                 else:
                     assert abs(got[(a, b_)] - want) < 2e-6, (a, b_, wide)
+
+
+def test_missing_values_of_any_type(spark):
+    df = spark.createDataFrame([(1, "a", 1.0, True), (2, None, float("nan"), None), (3, "x", None, False)], "id int, t string, d double, b boolean")
+    got = {r.column: r.n_missing for r in pf.missing_profile(df, ["t", "d", "b", "id"]).collect()}
+    assert got == {"t": 1, "d": 2, "b": 1, "id": 0}
+    assert sorted((r.id, r.column) for r in pf.missing_cells(df, ["t", "d", "b"]).collect()) == [(2, "b"), (2, "d"), (2, "t"), (3, "d")]
+
+
+def test_nan_is_missing_in_fits(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (float("nan"), 3.0), (3.0, None), (5.0, 1.0), (6.0, 7.0)], "a double, b double")
+    assert pf.fit_standard(df, ["a"])["a"][0] == 3.75
+    got = {(r.col_i, r.col_j): r.corr for r in pf.correlation_matrix(df, ["a", "b"]).collect()}
+    want = df.toPandas().corr()
+    assert abs(got[("a", "b")] - want.loc["a", "b"]) < 2e-6
+
+
+def test_power_lambda_beyond_the_first_grid(spark):
+    """A left-skewed column whose best lambda lies above 3, and a constant column, which is only centred."""
+    from tabml.operators import scale as sc
+
+    xs = [10.0 * (1 - (i / 200) ** 6) for i in range(200)]
+    df = spark.createDataFrame([(x, 5.0) for x in xs], "x double, c double")
+    fitted = sc.fit_power(df, ["x", "c"])
+    lam = fitted["x"][0]
+    assert lam > 3.09
+
+    def llf(v):
+        import numpy as np
+        t = ((np.array(xs) + 1) ** v - 1) / v
+        return -len(xs) / 2 * np.log(t.var()) + (v - 1) * np.log1p(xs).sum()
+
+    assert llf(lam) >= max(llf(lam - 0.01), llf(lam + 0.01)) and llf(lam) >= max(llf(lam + k / 4) for k in range(-10, 11))
+    assert all(abs(r.c) < 1e-12 for r in sc.apply_power(df, fitted).collect())

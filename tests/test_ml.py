@@ -97,3 +97,27 @@ def test_parallel_loop_keeps_order_and_results(spark, sf_small):
     a = [(r.model, r.test_accuracy) for r in m1.collect()]
     b_ = [(r.model, r.test_accuracy) for r in m2.collect()]
     assert a == b_ and [x[0] for x in a] == ["SGD Classifier", "Random Forest Optimized"]
+
+
+def test_every_learner_and_scaler_reloads(spark, sf_small, tmp_path):
+    from tabml import catalog
+
+    rows = catalog.QUERIES["model_roundtrip"](spark, sf_small).collect()
+    assert {r.model for r in rows} == {s.name for s in md.preset("check").specs} and len(rows) == 7
+    assert all(r.n_scored > 0 and r.n_mismatch == 0 for r in rows)
+
+
+def test_draws_are_of_parameters_that_have_an_effect():
+    for name in ("full", "quick"):
+        for spec in md.preset(name).specs:
+            draws = tr.sample_params(spec.effective_grid(), 10)
+            assert all(set(c) <= set(spec.mapping) for c in draws)
+            assert len({str(sorted(c.items(), key=str)) for c in draws}) == len(draws)
+            assert spec.lr_param is None or spec.lr_param in spec.mapping
+
+
+def test_one_candidate_is_cross_validated_too(spark, sf_small):
+    spec = md.spec_by_name(md.preset("check"), "Random Forest Optimized")
+    spec.grid = {"n_estimators": [5], "max_depth": [3]}
+    res = tr.random_search(spec, _data(spark, sf_small).where("split = 'train'"), 2, 3)
+    assert res.n_candidates == 1 and len(res.cv_scores) == 1

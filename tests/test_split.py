@@ -67,3 +67,14 @@ def test_cv_layout_shape(spark, sf_small):
     tests = lay.where("role = 'test'").groupBy("sample_idx").count()
     assert tests.where("count <> 1").count() == 0
     assert lay.agg(F.max("sample_idx")).first()[0] == 99
+
+
+def test_rows_without_label_stay_without_split(spark):
+    from tabml.functions.exprs import md5_key
+    from tabml.operators import split as sp
+
+    df = spark.range(30).selectExpr("cast(id as string) as id", "case when id < 20 then cast(id % 2 as int) end as label")
+    out = sp.split_and_folds(df.withColumn("h", md5_key("id", seed=1)), k=3).collect()
+    assert len(out) == 30
+    assert all((r.split is None) == (r.label is None) for r in out)
+    assert all(r.fold is None for r in out if r.label is None)
