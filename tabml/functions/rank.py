@@ -44,10 +44,8 @@ def bucketed_cumsum(df: DataFrame, group_cols: Sequence[str], order_col: str,
     tmp = df.withColumn("__b", bucket)
     for name, expr in values.items():
         tmp = tmp.withColumn(f"__v_{name}", expr)
-    # One shuffle by (group, bucket) serves both consumers: the totals
-    # aggregate and the final window need exactly this distribution, so the
-    # input is read and exchanged once (the exchange is reused).
-    tmp = tmp.repartition(*g, "__b")
+    # The totals are combined before their shuffle, so only the final window
+    # exchanges rows; its input is read a second time for that.
     totals = tmp.groupBy(*g, "__b").agg(
         *[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in values])
     border = F.col("__b").desc() if descending else F.col("__b").asc()
