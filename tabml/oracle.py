@@ -427,25 +427,17 @@ def _corr_sql(lower_only: bool) -> str:
 register("correlation_matrix", _corr_sql(False))
 
 
-def _corr_wide_sql(dims: int = 16) -> str:
-    cols = [f"e{i}" for i in range(dims)] + ["label"]
-    src = ("emb AS (SELECT " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(dims))
-           + ", CAST(label < 5 AS INTEGER) AS label FROM embeddings)")
-    sel, entries = [], []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
-            sel.append(f"CASE WHEN stddev_pop({a}) * stddev_pop({b}) = 0 THEN NULL ELSE "
-                       f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END AS c_{i}_{j}")
-            for p, q in {(i, j), (j, i)}:
-                entries.append(f"SELECT '{cols[p]}' AS col_i, '{cols[q]}' AS col_j, {p} AS i, "
-                               f"{q} AS j, round(c_{i}_{j}, 6) AS corr FROM wide")
-    return "WITH " + src + ",\nwide AS (SELECT " + ",\n  ".join(sel) + " FROM emb)\n" + \
-        "\nUNION ALL\n".join(entries)
-
-
-register("correlation_wide", _corr_wide_sql())
+# all 64 coordinates and the label, as rows (vector, coordinate, value)
+register("correlation_wide", """
+WITH long AS (
+  SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS i FROM embeddings
+  UNION ALL SELECT vec_id, CAST(label < 5 AS INTEGER), 64 FROM embeddings),
+pairs AS (
+  SELECT a.i AS i, b.i AS j, covar_pop(a.v, b.v) AS c, stddev_pop(a.v) * stddev_pop(b.v) AS s
+  FROM long a JOIN long b USING (vec_id) GROUP BY 1, 2)
+SELECT CASE WHEN i = 64 THEN 'label' ELSE 'e' || i END AS col_i, CASE WHEN j = 64 THEN 'label' ELSE 'e' || j END AS col_j,
+       i, j, round(CASE WHEN s = 0 THEN NULL ELSE c / s END, 6) AS corr
+FROM pairs""")
 register("correlation_lower", _corr_sql(True))
 
 # ------------------------------------------------------------ scaling
