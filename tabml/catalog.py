@@ -143,8 +143,7 @@ def q_scan_labelled(spark, d):
 def _dirty(spark, d):
     """A labelled frame with an id, real gaps and a text class."""
     f = b.feat_raw(spark, d)
-    return f.select("id", "l_quantity", "l_discount", "l_tax",
-                    F.col("l_returnflag").alias("diagnosis"))
+    return f.select("id", *b.FEATURES, F.col("l_returnflag").alias("diagnosis"))
 
 
 @query("clean_table")

@@ -317,10 +317,10 @@ register("scan_labelled", """
 SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag FROM lineitem""")
 
 register("clean_table", """
-WITH dirty AS (SELECT l_quantity, nullif(l_discount, 0.0) AS l_discount, nullif(l_tax, 0.0) AS l_tax,
+WITH dirty AS (SELECT l_quantity, l_extendedprice, nullif(l_discount, 0.0) AS l_discount, nullif(l_tax, 0.0) AS l_tax,
                       l_returnflag AS diagnosis FROM lineitem),
-med AS (SELECT median(l_quantity) AS mq, median(l_discount) AS md, median(l_tax) AS mt FROM dirty)
-SELECT DISTINCT coalesce(l_quantity, mq) AS l_quantity, coalesce(l_discount, md) AS l_discount,
+med AS (SELECT median(l_quantity) AS mq, median(l_extendedprice) AS me, median(l_discount) AS md, median(l_tax) AS mt FROM dirty)
+SELECT DISTINCT coalesce(l_quantity, mq) AS l_quantity, coalesce(l_extendedprice, me) AS l_extendedprice, coalesce(l_discount, md) AS l_discount,
        coalesce(l_tax, mt) AS l_tax,
        CASE WHEN diagnosis = 'R' THEN 1 WHEN diagnosis = 'A' THEN 0 END AS label
 FROM dirty, med""")
