@@ -28,7 +28,7 @@ from .suffix_refine import _bytes
 
 #: Buckets of the hashed trigrams.
 BUCKETS = 1 << 15
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def trigrams(values: np.ndarray) -> np.ndarray:

@@ -208,7 +208,7 @@ def mixed_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: s
         import pyarrow as pa
 
         word = re.compile(WORD)
-        for batch in batches:
+        for batch in (b.slice(low, 200) for b in batches for low in range(0, b.num_rows, 200)):
             own, texts = [], []
             for i, (text, passes) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 at = [m.span() for m in word.finditer(text)]

@@ -122,7 +122,7 @@ def drop_repeats(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", te
 
     def run(batches):
         pair = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in (b.slice(low, 500) for b in batches for low in range(0, b.num_rows, 500)):
             texts, kept = [], []
             for text, removed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if text is None:

@@ -159,7 +159,7 @@ def _refined(rows: DataFrame, length: int) -> DataFrame:
     def run(batches):
         from xxhash import xxh3_64_intdigest
 
-        for batch in batches:
+        for batch in (b.slice(low, 500) for b in batches for low in range(0, b.num_rows, 500)):
             out = []
             for r in batch.to_pylist():
                 windows, size, at, text = r["last"] - r["first"] + 1, r["size"], r["place"], r["bytes"]
@@ -313,7 +313,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
     def cut(batches):
         span = pa.struct([("first", pa.int64()), ("end", pa.int64())])
-        for batch in batches:
+        for batch in (b.slice(low, 500) for b in batches for low in range(0, b.num_rows, 500)):
             n_bytes, removed, kept = [], [], []
             for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
                 merged: list[dict] = []

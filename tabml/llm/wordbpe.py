@@ -3,8 +3,9 @@
 White space never lies inside a token of a word BPE, so a text's ids are the
 ids of its white-space-separated chunks in order. Chunks repeat a lot: Arrow
 splits and dictionary-encodes a slice of texts, each distinct chunk is looked up
-once, and the ids are gathered with numpy. The chunk cache of a Python worker is
-bounded; it is emptied when full, which changes no result.
+once, and the ids are gathered with numpy. The caches of a Python worker are
+bounded: a full one becomes the old one, from which what is still in use moves
+over, and the old one before it goes. That changes no result.
 """
 
 from __future__ import annotations
@@ -29,13 +30,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+class Cache:
+    """Values by key, computed when missing; holds the last ``limit`` to twice as many keys."""
+
+    def __init__(self, compute, limit: int):
+        self.compute, self.limit = compute, limit
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes:
+        out = self.new.get(key)
+        if out is None:
+            out = self.old.get(key)
+            if out is None:
+                out = self.compute(key)
+            if len(self.new) >= self.limit:
+                self.old, self.new = self.new, {}
+            self.new[key] = out
+        return out
+
+
 class WordBpe:
     """Encodes Arrow string arrays; ids equal ``encode(text, add_special_tokens=False)``."""
 
-    #: chunks kept in a worker's cache (about 200 bytes each)
-    CACHE = 600_000
+    #: entries of about 200 bytes in one generation of a cache
+    CACHE = 100_000
     #: bytes of text that are split at once
-    SLICE = 8 << 20
+    SLICE = 3 << 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -43,35 +64,23 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.chunks, self.words = Cache(self._chunk, self.CACHE), Cache(self._word, self.CACHE)
 
     def _word(self, word: str) -> bytes:
-        out = self.words.get(word)
-        if out is None:
-            level = word.encode("utf-8").decode("latin-1").translate(self.letters)
-            out = np.array([t.id for t in self.model.tokenize(level)], "<u4").tobytes()
-            if len(self.words) >= self.CACHE:
-                self.words.clear()
-            self.words[word] = out
-        return out
+        level = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(level)], "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
+        if not chunk:
+            return b""
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join([self._word(w) for w in _PRE.findall(chunk.lower())])
+            return b"".join([self.words.get(w) for w in _PRE.findall(chunk.lower())])
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        kept, parts = self.chunks, []
-        if len(kept) + len(coded.dictionary) > self.CACHE:
-            kept.clear()
-        for chunk in coded.dictionary.to_pylist():
-            ids = kept.get(chunk)
-            if ids is None:
-                ids = kept[chunk] = self._chunk(chunk)
-            parts.append(ids)
+        parts = list(map(self.chunks.get, coded.dictionary.to_pylist()))
         flat = np.frombuffer(b"".join(parts), "<u4")
         size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
         start = np.cumsum(size) - size
