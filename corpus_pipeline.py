@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.llm import langid, mixing, packing, simhash_bktree, substring_units
-from tabml.llm.queries import tokenizer_path
+from tabml.llm.queries import small_batches, tokenizer_path
 from tabml.llm.store import stored
 
 #: Rows of 20 bytes that are broadcast; a longer list is joined by a shuffle.
@@ -31,6 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The declared language is ``lang``, the host ``source``. Null and wordless texts go.
     """
+    small_batches(spark)
     langs, table = langid.learn(docs, "text", "lang")
     none = F.lit(None).cast("string")
     records = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_hash"), "text", F.col("lang").alias("declared"),
@@ -41,6 +42,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the smallest id (rows without one last), then the smallest hash."""
+    small_batches(spark)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_hash"))
     rows = stored(simhash_bktree.near_duplicates(keyed, shingle=3, radius=3, carry=["row_hash"]), "groups")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_hash")
@@ -58,6 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines and sentences that an earlier one holds; those of which nothing is left go."""
+    small_batches(spark)
     rows = substring_units.drop_repeats(docs, min_words=5, carry=["lang", "source"])
     return (rows.where("text is null or text <> ''")
             .select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars")))
@@ -65,12 +68,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What a mix with the sources weighing 5, 2, 1 in turn takes of the documents; a row for each pass over one."""
+    small_batches(spark)
     rows = mixing.mixed_texts(docs, mixing.mix(docs))
     return rows.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 token ids; a row per piece, with its ids."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_path(), as_list=True)
 
 

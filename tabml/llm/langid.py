@@ -92,6 +92,7 @@ def learn(texts: DataFrame, text_col: str, lang_col: str, smoothing: float = 0.5
             place = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([str(name)] * len(place), pa.string()), pa.array(place, pa.int32()),
                                               pa.array(own[place], pa.int64())], names=["lang", "bucket", "n"])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     counted = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # at most BUCKETS numbers for each language
@@ -144,6 +145,7 @@ def identify(records: DataFrame, langs: list[str], table: np.ndarray, temper: fl
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(rest)], pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * n, pa.int32()), pa.array(ll.ravel())),
                  pa.array(evidence)], names=schema.fieldNames())
+        pa.default_memory_pool().release_unused()
 
     rows = stored(records.select(*rest, "text").mapInArrow(score, schema), "language-scores")
     l = [F.get("ll", F.lit(i)) for i in range(n)]  # noqa: E741

@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from . import cws, html_layout, langid, mixing, packing, pstable, qda, simhash_bktree, substring_units, suffix_refine
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch than Spark's 10,000, as a row is a whole text: less memory in JVM and Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             texts = batch.column(1).cast(pa.binary())
             fp = [simhash(t.as_py() or b"", shingle) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]], names=schema.fieldNames())
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return plain.mapInArrow(run, schema).select("doc_id", "fp", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)])
 
