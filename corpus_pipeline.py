@@ -61,7 +61,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines and sentences that an earlier one holds; those of which nothing is left go."""
     small_batches(spark)
-    rows = substring_units.drop_repeats(docs, min_words=5, carry=["lang", "source"])
+    rows = substring_units.drop_repeats(docs, min_words=5, whole_lines=True, carry=["lang", "source"])
     return (rows.where("text is null or text <> ''")
             .select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars")))
 

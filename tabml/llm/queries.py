@@ -45,7 +45,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines and sentences that an earlier one holds."""
-    rows = substring_units.drop_repeats(_table(spark, sf_dir, "documents"), min_words=5)
+    rows = substring_units.drop_repeats(_table(spark, sf_dir, "documents"), min_words=5, whole_lines=True)
     return rows.select("doc_id", "text", "kept", "removed", F.size("removed").cast("long").alias("n_removed"),
                        F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s.end - s.start).alias("removed_chars"))
 

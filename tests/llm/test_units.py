@@ -86,3 +86,51 @@ def test_carried_columns_and_empty_table(make_docs):
     rows = su.drop_repeats(docs, carry=["start", "row_hash", "lang"]).collect()
     assert {(r.start, r.row_hash, r.lang) for r in rows} == {("s", "x", "en")}
     assert su.drop_repeats(docs.where("false")).count() == 0
+
+
+def test_short_whole_lines(make_docs):
+    """Lines under the floor go too when they repeat; sentences under it stay."""
+    data = [(1, "All rights reserved\none line of verse\nYes. It is so."), (2, "all rights  reserved.\nanother verse here\n\none line of verse!\nYes. But not so."),
+            (3, "x\nAnother verse here\ny"), (4, "---\n- - -\n***"), (5, "...\n---")]
+    rows = {r.doc_id: r for r in su.drop_repeats(make_docs(data), whole_lines=True).collect()}
+    assert [rows[i].text for i in range(1, 6)] == [data[0][1], "another verse here\n\nYes. But not so.", "x\ny", data[3][1], data[4][1]]
+    assert [(s.start, s.end) for s in rows[2].removed] == [(0, 21), (42, 60)]
+    low = {r.doc_id: r.text for r in su.drop_repeats(make_docs(data)).collect()}
+    assert low[2] == data[1][1]
+
+
+def test_lines_and_the_sentences_in_them(make_docs):
+    """A line goes as one span, though its sentences repeat as well; other lines lose their repeated sentences only."""
+    one, two = "This first sentence has six words.", "And here are five more words."
+    data = [(1, f"{one} {two}"), (2, f"Short. {one} {two}\nend a"), (3, f"{one} {two}\nend b"), (4, "so, THIS first sentence has six words")]
+    rows = {r.doc_id: r for r in su.drop_repeats(make_docs(data), whole_lines=True).collect()}
+    assert [rows[i].text for i in range(1, 5)] == [data[0][1], "Short. end a", "end b", data[3][1]]
+    assert [(s.start, s.end) for s in rows[3].removed] == [(0, len(one) + 1 + len(two))]
+
+
+def test_scripts_without_spaces(make_docs):
+    a, b = "今日はとても良い天気ですね", "明日は雨が降るかもしれません"
+    data = [(1, f"{a}。{b}。"), (2, f"前置き。{b}。以上"), (3, "ภาษาไทยไม่มีช่องว่าง"), (4, "ต้น\nภาษาไทยไม่มีช่องว่าง"), (5, "कि\nकी"), (6, "की")]
+    got = {r.doc_id: r.text for r in su.drop_repeats(make_docs(data), whole_lines=True).collect()}
+    assert got == {1: data[0][1], 2: "前置き。以上", 3: data[2][1], 4: "ต้น\n", 5: data[4][1], 6: ""}
+    assert {r.doc_id: r.text for r in su.drop_repeats(make_docs(data)).collect()}[2] == "前置き。以上"
+
+
+def test_short_lines_of_a_whole_table(spark, sf_tiny):
+    """No line that an earlier row holds is left, and no row loses what no earlier one holds."""
+    docs = spark.read.parquet(f"{sf_tiny}/documents.parquet")
+    norm = lambda s: re.sub(r"[\W_]+", " ", unicodedata.normalize("NFKC", s).lower()).strip()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    n, seen, held = 0, set(), ""
+    for r in sorted(su.drop_repeats(docs, whole_lines=True).collect(), key=lambda r: r.doc_id):
+        for s in r.removed:
+            assert norm(texts[r.doc_id][s.start:s.end]) in held + " " + norm(texts[r.doc_id][:s.start])
+        gone = {(s.start, s.end) for s in r.removed}
+        for m in re.finditer(r"[^\n\r]+", texts[r.doc_id]):
+            line = norm(m.group())
+            if line and line in seen:
+                n += 1
+                assert any(a <= m.start() + len(m.group()) - len(m.group().lstrip()) and m.start() + len(m.group().rstrip()) <= b for a, b in gone)
+            seen.add(line)
+        held += " " + norm(texts[r.doc_id])
+    assert n > 0
