@@ -41,6 +41,8 @@ IMPLIED = {
     "td": _CELL, "th": _CELL, "tr": _ROW, "thead": _PART, "tbody": _PART, "tfoot": _PART, "caption": _PART, "colgroup": _PART,
     "rt": ({"rt", "rp"}, {"ruby"}), "rp": ({"rt", "rp"}, {"ruby"}), "body": ({"head"}, {"html"}),
 }
+#: Start tags that may stand in a head; any other, or text, ends it, as both </head> and <body> may be left out.
+IN_HEAD = frozenset("head html base basefont bgsound link meta title style script noscript noframes template".split())
 #: An end tag does not reach beyond these.
 SCOPE = frozenset({"table", "td", "th", "caption", "template", "html"})
 
@@ -82,17 +84,23 @@ def parse(html: str) -> tuple[Node, list[str]]:
         if last is not None:
             here = last.parent
 
+    def text(s):
+        nonlocal here
+        if here.tag == "head" and s.strip(" \t\n\r\f"):
+            here = here.parent
+        here.parts.append(s)
+
     while at < n:
         m = _TOKEN.search(html, at)
         if not m:
-            here.parts.append(unescape(html[at:]))
+            text(unescape(html[at:]))
             break
         if m.start() > at:
-            here.parts.append(unescape(html[at:m.start()]))
+            text(unescape(html[at:m.start()]))
         kind, at = m.group(), m.end()
         name = _NAME.match(html, at) if html[at:at + 1].isascii() and html[at:at + 1].isalpha() else None
         if kind == "<" and not name:
-            here.parts.append("<")
+            text("<")
         elif kind == "<!--":
             if html.startswith((">", "->"), at):
                 at = html.index(">", at) + 1
@@ -134,8 +142,15 @@ def parse(html: str) -> tuple[Node, list[str]]:
                 elif tag == "p":
                     here.parts.append(Node("p", {}, here))
                 elif tag == "br":
+                    if here.tag == "head":
+                        here = here.parent
                     here.parts.append(Node("br", {}, here))
                 continue
+            if here.tag == "head":
+                if tag in ("head", "html"):
+                    continue
+                if tag not in IN_HEAD:
+                    here = here.parent
             if tag in CLOSES_P:
                 close({"p"}, {"table", "td", "th", "caption", "button", "object", "template", "li", "dd"} if tag != "li" else {"ul", "ol", "table", "td", "th"})
             if tag in IMPLIED:

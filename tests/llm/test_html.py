@@ -67,3 +67,17 @@ def test_odd_rows(spark):
     got = sorted(((r.page_id, r.text, r.url) for r in html_layout.extract_text(df, carry=["url"]).collect()), key=str)
     assert got == sorted([(1, None, "u"), (None, "x", "u"), (2, "", None), (3, "x", "u"), (3, "x", "u")], key=str)
     assert html_layout.extract_text(df.where("false")).count() == 0
+
+
+HEADS = [
+    ("<html><head><title>T</title><p>text<p>more", "text\n\nmore"),
+    ("<head><meta charset=utf-8><link rel=x><style>b{}</style><script>s</script><noscript><img src=x>no</noscript> \n text <b>bold</b>", "text bold"),
+    ("<!doctype html><html lang=en><head>\n<title>T</title>\n<div>one</div></head><body><p>two</body></html>", "one\n\ntwo"),
+    ("<head><title>T</title></br>x", "x"), ("<head><title>T</title>< 5", "< 5"), ("<head><html><head><title>T</title>x", "x"),
+    ("<head><template><p>no</template><title>T</title></head><body>yes", "yes"),
+]
+
+
+@pytest.mark.parametrize("html,text", HEADS)
+def test_heads_without_an_end(html, text):
+    assert render(html) == text
