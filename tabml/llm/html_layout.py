@@ -28,8 +28,17 @@ BLOCK = frozenset(
 #: Blocks with an empty line before and after.
 SPACED = frozenset("article blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 HIDDEN = frozenset(
-    "head script style template title noscript noframes noembed iframe datalist audio video canvas object svg math"
-    " textarea select base link meta param source track rp area map".split())
+    "head script style template title noscript noframes noembed iframe datalist audio video canvas object"
+    " base link meta param source track rp area annotation annotation-xml mphantom".split())
+#: Parts of a drawing that are not drawn where they stand.
+SVG_HIDDEN = frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+#: Elements of HTML that end an open svg or math, and those inside of these that may hold HTML.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre"
+    " ruby s small span strong strike sub sup table tt u ul var".split())
+INTEGRATION = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+#: Kinds of input that show their value.
+VALUED = frozenset(["", *"text search email url tel number submit button reset".split()])
 CLOSES_P = BLOCK - frozenset("body dd dt html legend li optgroup option caption tbody thead tfoot tr summary".split()) | {"li", "dd", "dt"}
 #: For a start tag: what it ends when open, and what shields an outer one of the kind.
 _CELL = ({"td", "th"}, {"table"})
@@ -52,16 +61,27 @@ _ATTR = re.compile(r"""[\s/]*+([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^
 _SKIP = re.compile(r"[\s/]*+")
 _END = re.compile(r"[\s/]*+>")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]*+)\{([^{}]*+)\}")
-_SIMPLE = re.compile(r"([A-Za-z][\w-]*)?(?:\.([\w-]+)|#([\w-]+))?")
+_COMMENT = re.compile(r"/\*(?:.*?\*/|.*)|<!--|-->", re.S)
+_CSS = re.compile(r""""(?:[^"\\\n]|\\.)*+"?|'(?:[^'\\\n]|\\.)*+'?|[{};]""", re.S)
+_DECLARED = re.compile(r"(?:^|;)\s*+(display|visibility)\s*+:\s*+([a-z-]++)[^;!]*+(!\s*+important)?", re.I)
+_COMPOUND = re.compile(r"([A-Za-z][\w-]*+|\*)?((?:[.#][\w-]++)*+)")
+_RANGE = re.compile(r"(?:([\d.]+)(px|r?em)?\s*(<=?|>=?|=)\s*)?(?:(min|max)-)?(?:device-)?(width|height)(?:\s*(:|<=?|>=?|=)\s*([\d.]+)(px|r?em)?)?")
+#: The screen that style sheets are judged for: its size in CSS pixels and other features.
+SCREEN = {"width": 1280.0, "height": 800.0}
+FEATURES = frozenset(
+    ("color", "hover", "pointer", "any-hover", "any-pointer", "hover:hover", "any-hover:hover", "pointer:fine", "any-pointer:fine", "scripting", "scripting:enabled",
+     "orientation:landscape", "prefers-color-scheme:light", "prefers-reduced-motion:no-preference", "grid:0", "update:fast"))
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parts", "parent")
+    __slots__ = ("tag", "attrs", "parts", "parent", "foreign", "inert")
 
     def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
         self.tag, self.attrs, self.parts, self.parent = tag, attrs, [], parent
+        #: In a drawing or formula, whose tags close as in XML.
+        self.foreign = tag in ("svg", "math") or parent is not None and parent.foreign and parent.tag not in INTEGRATION
+        #: Where style sheets do not apply: in what only browsers without scripts read, or in a template.
+        self.inert = tag in ("noscript", "template") or parent is not None and parent.inert
 
 
 def _raw_end(html: str, tag: str, at: int) -> tuple[int, int]:
@@ -151,6 +171,9 @@ def parse(html: str) -> tuple[Node, list[str]]:
                     continue
                 if tag not in IN_HEAD:
                     here = here.parent
+            if here.foreign and here.tag not in INTEGRATION and tag in BREAKOUT:
+                while here.foreign and here.tag not in INTEGRATION:
+                    here = here.parent
             if tag in CLOSES_P:
                 close({"p"}, {"table", "td", "th", "caption", "button", "object", "template", "li", "dd"} if tag != "li" else {"ul", "ol", "table", "td", "th"})
             if tag in IMPLIED:
@@ -160,9 +183,11 @@ def parse(html: str) -> tuple[Node, list[str]]:
                 here = row
             node = Node(tag, attrs, here)
             here.parts.append(node)
+            if node.foreign and "/" in end.group():
+                continue
             if tag in RAW:
                 a, b = _raw_end(html, tag, at)
-                if tag == "style":
+                if tag == "style" and _for_screen(attrs.get("media", "")) and attrs.get("type", "").strip().lower() in ("", "text/css") and not node.inert:
                     sheets.append(html[at:a])
                 node.parts.append(unescape(html[at:a]) if tag in ("textarea", "title") else html[at:a])
                 at = b
@@ -174,35 +199,182 @@ def parse(html: str) -> tuple[Node, list[str]]:
     return root, sheets
 
 
-def hidden_rules(sheets: list[str]) -> set[tuple]:
-    """(tag, class, id) of the simple selectors that style sheets hide; other selectors are not followed."""
-    out = set()
-    for sheet in sheets:
-        for selectors, body in _RULE.findall(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDE.search(body):
-                for s in selectors.split(","):
-                    m = _SIMPLE.fullmatch(s.strip())
-                    if m and m.group():
-                        out.add(((m.group(1) or "").lower(), m.group(2) or "", m.group(3) or ""))
+def _feature(text: str) -> bool:
+    """Whether the screen has a feature; unknown ones it has not."""
+    text = text.strip()
+    m = _RANGE.fullmatch(text)
+    if not m:
+        return re.sub(r"\s*:\s*", ":", text) in FEATURES
+    low, low_unit, low_op, bound, name, op, high, high_unit = m.groups()
+    size = SCREEN[name]
+    holds = {"<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b, ">=": lambda a, b: a >= b, "=": lambda a, b: a == b}
+    try:
+        if low and not holds[low_op](float(low) * (16 if low_unit in ("em", "rem") else 1), size):
+            return False
+        if not high:
+            return bound is None
+        op = {None: "=", "min": ">=", "max": "<="}[bound] if op == ":" else op
+        return holds[op](size, float(high) * (16 if high_unit in ("em", "rem") else 1))
+    except ValueError:
+        return False
+
+
+def _for_screen(media: str) -> bool:
+    """Whether a media query list holds for the screen."""
+    return not media.strip() or any(map(_query, media.lower().split(",")))
+
+
+def _query(query: str) -> bool:
+    query = query.strip()
+    negated = query.startswith("not") and query[3:4].isspace()
+    if negated or query.startswith("only") and query[4:5].isspace():
+        query = query[4:].strip()
+    either = re.search(r"\)\s*or\s*\(", query)
+    parts = [p.strip() for p in re.split(r"(?<=\))\s*or\s*(?=\()" if either else r"\band\b", query)]
+    holds = (any if either else all)(_feature(p[1:-1]) if p.startswith("(") and p.endswith(")") else p in ("all", "screen") for p in parts)
+    return holds != negated
+
+
+def _applies(prelude: str) -> bool:
+    """Whether the rules in a block of an at-rule count."""
+    name, _, rest = prelude.lower().partition(" ")
+    name, bracket, inner = name.partition("(")
+    if name == "@media":
+        return _for_screen(bracket + inner + " " + rest)
+    return name == "@layer" or name == "@supports" and not rest.strip().startswith("not")
+
+
+class Style:
+    """What the style sheets of a page say about ``display`` and ``visibility``, by tag, class and id.
+
+    Selectors of one tag, classes and ids are followed, others are not. At-rules that
+    are not for the screen are skipped. As in a browser, the important, then the more
+    specific, then the later of the rules for an element holds. ``forms``: whether
+    what fields hold is text of the page.
+    """
+
+    def __init__(self, sheets: list[str], forms: bool = True):
+        self.forms = forms
+        self.rules: dict[str, dict[tuple, dict]] = {}
+        self.n = 0
+        for sheet in sheets:
+            self._read(_COMMENT.sub(" ", sheet))
+
+    def _read(self, css: str) -> None:
+        blocks: list[str] = []  # open ones: the selectors, or "" for an at-rule's
+        at, skipped, body = 0, 0, ""
+        for m in _CSS.finditer(css):
+            c = m.group()
+            if c == "{":
+                if skipped or blocks and blocks[-1]:
+                    if not skipped:
+                        body += css[at:m.start()] + ";"
+                    skipped += 1
+                else:
+                    prelude = css[at:m.start()].strip()
+                    if not prelude.startswith("@"):
+                        blocks.append(prelude or "?")
+                    elif _applies(prelude):
+                        blocks.append("")
+                    else:
+                        skipped = 1
+                at = m.end()
+            elif c == "}":
+                if skipped:
+                    skipped -= 1
+                elif blocks and (selectors := blocks.pop()):
+                    self._add(selectors, body + css[at:m.start()])
+                    body = ""
+                at = m.end()
+            elif c == ";" and not skipped and not (blocks and blocks[-1]):
+                at = m.end()
+        if not skipped and blocks and blocks[-1]:
+            self._add(blocks[-1], body + css[at:])
+
+    def _add(self, selectors: str, body: str) -> None:
+        said = declared(body)
+        if said:
+            for s in selectors.split(","):
+                m = _COMPOUND.fullmatch(s.strip())
+                if m and m.group():
+                    tag = (m.group(1) or "*").lower()
+                    names = re.findall(r"[.#][\w-]+", m.group(2))
+                    ids, classes = {x for x in names if x[0] == "#"}, {x for x in names if x[0] == "."}
+                    key = next(iter(ids or classes), tag)
+                    rank = (sum(x[0] == "#" for x in names), sum(x[0] == "." for x in names), int(tag != "*"), self.n)
+                    best = self.rules.setdefault(key, {}).setdefault((tag, frozenset(ids | classes)), {})
+                    for name, (hide, important) in said.items():
+                        if (important, rank) >= best.get(name, (False, ()))[:2]:
+                            best[name] = (important, rank, hide)
+                    self.n += 1
+
+    def hides(self, node: Node) -> bool:
+        """Whether an element is not shown, but for its kind and its place."""
+        a = node.attrs
+        hidden = {"display": "hidden" in a and a["hidden"].lower() != "until-found" or node.tag == "dialog" and "open" not in a, "visibility": False}
+        best: dict[str, tuple] = {}
+
+        def weigh(name, important, rank, hide):
+            if (important, rank) >= best.get(name, (False, ())):
+                best[name] = (important, rank)
+                hidden[name] = hide
+
+        if self.rules:
+            own = {f".{c}" for c in a.get("class", "").split()}
+            if "id" in a:
+                own.add(f"#{a['id']}")
+            for key in ("*", node.tag, *own):
+                for (tag, names), said in self.rules.get(key, {}).items():
+                    if tag in ("*", node.tag) and names <= own:
+                        for name, (important, rank, hide) in said.items():
+                            weigh(name, important, (0, *rank), hide)
+        if "style" in a:
+            for name, (hide, important) in declared(a["style"]).items():
+                weigh(name, important, (1,), hide)
+        return hidden["display"] or hidden["visibility"]
+
+
+def declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """Of display and visibility, what a list of declarations says last: (hide, important)."""
+    out: dict[str, tuple[bool, bool]] = {}
+    for name, value, important in _DECLARED.findall(body):
+        name, value = name.lower(), value.lower()
+        if value not in ("inherit", "revert", "revert-layer") and bool(important) >= out.get(name, (False, False))[1]:
+            out[name] = (value == "none" if name == "display" else value in ("hidden", "collapse"), bool(important))
     return out
 
 
-def visible(node: Node, rules: set[tuple]) -> bool:
+def visible(node: Node, style: Style) -> bool:
     a = node.attrs
-    if node.tag in HIDDEN or "hidden" in a and a["hidden"].lower() != "until-found":
+    if node.tag in HIDDEN or node.foreign and node.tag in SVG_HIDDEN:
         return False
-    if node.tag == "input" and a.get("type", "").lower() == "hidden" or node.tag == "dialog" and "open" not in a:
+    if node.tag in ("textarea", "select") and not style.forms:
         return False
-    if "style" in a and _HIDE.search(a["style"]):
+    if node.tag == "input" and a.get("type", "").lower() == "hidden" or style.hides(node):
         return False
     if node.tag == "details" or node.parent is not None and node.parent.tag == "details" and "open" not in node.parent.attrs and node.tag != "summary":
         return node.tag == "details"
-    if rules:
-        classes = ["", *a.get("class", "").split()]
-        return not any((t, c, i) in rules for t in ("", node.tag) for c in classes for i in {"", a.get("id", "")})
     return True
 
 
+def _options(select: Node, style: Style) -> list[Node]:
+    """The options that a list shows: all if it is open, or else the selected one, or else the first."""
+    found, todo = [], [iter(select.parts)]
+    while todo:
+        part = next(todo[-1], None)
+        if part is None:
+            todo.pop()
+        elif isinstance(part, Node) and visible(part, style):
+            if part.tag == "option":
+                found.append(part)
+            else:
+                todo.append(iter(part.parts))
+    if "multiple" in select.attrs or _int(select.attrs.get("size"), 1) > 1:
+        return found
+    chosen = [o for o in found if "selected" in o.attrs][-1:]
+    return chosen or [o for o in found if "disabled" not in o.attrs][:1] or found[:1]
+
+
 class Lines:
     """Collects lines: white space runs become one space, blocks start lines, spaced blocks leave one empty line."""
 
@@ -265,7 +437,7 @@ class Lines:
             self.gap = True
 
 
-def _cells(table: Node, rules: set) -> tuple[list[Node], list[list[Node]]]:
+def _cells(table: Node, rules: Style) -> tuple[list[Node], list[list[Node]]]:
     """Captions and rows of a table; whatever else it holds counts as a row of its own."""
     captions, rows, todo = [], [], [iter(table.parts)]
     while todo:
@@ -320,10 +492,10 @@ def _grid(captions: list[list[str]], rows: list[list[tuple[int, list[str]]]]) ->
     return out
 
 
-def render(html: str) -> str:
-    """All visible text of a page."""
+def render(html: str, forms: bool = False) -> str:
+    """All visible text of a page; with ``forms`` also what its fields hold."""
     root, sheets = parse(html)
-    rules = hidden_rules(sheets)
+    rules = Style(sheets, forms)
     out = Lines()
     # a stack of generators in place of recursion; a table cell is rendered into Lines of its own
     done: list = [out]
@@ -338,8 +510,8 @@ def render(html: str) -> str:
     return "\n".join(done[0].lines)
 
 
-def _render(node: Node, out: Lines, rules: set, flags: int):
-    """Writes a node to ``out``; yields the calls for its children. flags: 1 within pre."""
+def _render(node: Node, out: Lines, rules: Style, flags: int):
+    """Writes a node to ``out``; yields the calls for its children. flags: 1 within pre, 2 in a drawing outside its texts."""
     tag = node.tag
     if tag == "table":
         captions, rows = _cells(node, rules)
@@ -368,6 +540,25 @@ def _render(node: Node, out: Lines, rules: set, flags: int):
     if tag == "hr":
         out.line(gap=True)
         return
+    if tag == "input":
+        if rules.forms and node.attrs.get("type", "").strip().lower() in VALUED:
+            yield from _field(node, [node.attrs.get("value", "")], out, rules, 0)
+        return
+    if tag == "textarea":
+        yield from _field(node, [p.removeprefix("\n") for p in node.parts if isinstance(p, str)], out, rules, 1)
+        return
+    if tag == "select":
+        shown = _options(node, rules)
+        for o in shown:
+            if len(shown) > 1:
+                out.line()
+            yield from _field(o, o.parts, out, rules, 0)
+        if len(shown) > 1:
+            out.line()
+        return
+    if node.foreign and tag in ("svg", "text", "foreignobject"):
+        yield from _field(node, node.parts, out, rules, flags | 2 if tag == "svg" else flags & ~2)
+        return
     block = tag in BLOCK
     nested = tag in ("ul", "ol", "menu", "dir") and out.indent > 0
     if block:
@@ -391,11 +582,24 @@ def _render(node: Node, out: Lines, rules: set, flags: int):
             out.mark = ""
 
 
-def _inner(node: Node, out: Lines, rules: set, flags: int):
+def _field(node: Node, parts: list, out: Lines, rules: Style, flags: int):
+    """Parts of a node, set off by spaces from what stands beside it."""
+    if flags & 1 and out.parts:
+        out.parts.append(" ")
+        out.space = False
+    else:
+        out.text(" ")
+    inside = Node(node.tag, node.attrs, node.parent)
+    inside.parts = parts
+    yield from _inner(inside, out, rules, flags)
+    out.text(" ")
+
+
+def _inner(node: Node, out: Lines, rules: Style, flags: int):
     n = 0
     for part in node.parts:
         if isinstance(part, str):
-            if node.tag == "details" and "open" not in node.attrs:
+            if node.tag == "details" and "open" not in node.attrs or flags & 2:
                 continue
             out.text(part, bool(flags & 1))
         elif visible(part, rules):
@@ -414,8 +618,9 @@ def _number(node: Node) -> int:
     return int(node.attrs.get("#number", "1"))
 
 
-def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", carry: list[str] | None = None) -> DataFrame:
-    """``(page_id, the columns of carry, text)`` for every row of ``pages``.
+def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", carry: list[str] | None = None,
+                 forms: bool = True) -> DataFrame:
+    """``(page_id, the columns of carry, text)`` for every row of ``pages``; ``forms`` as for ``render``.
 
     A null page has a null text, an empty one an empty text. Null ids and repeated rows
     are rows of their own; other columns are not read. An empty table gives no rows.
@@ -426,7 +631,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "htm
 
     def run(batches):
         for batch in batches:
-            texts = [None if h is None else render(h) for h in batch.column(1).to_pylist()]
+            texts = [None if h is None else render(h, forms) for h in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:]], names=schema.fieldNames())
 
     return rows.mapInArrow(run, schema).select("page_id", *[F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)], "text")

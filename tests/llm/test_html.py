@@ -81,3 +81,46 @@ HEADS = [
 @pytest.mark.parametrize("html,text", HEADS)
 def test_heads_without_an_end(html, text):
     assert render(html) == text
+
+
+SHOWN = [
+    ("<style>@media print { nav {display:none} } @media (max-width: 600px) {.w{display:none}}</style><nav>nav</nav><i class=w>wide</i>", "nav\nwide"),
+    ("<style>@media screen and (min-width:600px){.n{display:none}} @media not print{#p{display:none}} @media (width <= 40em){b{display:none}}</style><i class=n>no</i><u id=p>no</u><b>yes</b>", "yes"),
+    ("<style>@import 'x;{'; @font-face{font-family:x} @supports (display:grid){@media all{.g{display:none}}} .a{display:none} .a{display:block}</style><i class=g>no</i><b class=a>yes</b>", "yes"),
+    ("<style>.a{display:none!important} .a{display:block} #i{display:block} i{display:none} .t{display:none} .t.on{display:block}</style><b class=a>no</b><i id=i>one</i><b class=t>no</b> <b class='on t'>two</b>", "one two"),
+    ("<style media=print>p{display:none}</style><noscript><style>p{display:none}</style></noscript><p style='backface-visibility:hidden'>yes<p style='display:none;display:block'>too", "yes\n\ntoo"),
+    ("<style>p{content:'}';display:none} /* b{display:none} */</style><p>no</p><b>yes</b>", "yes"),
+    ("a<svg width=9><title>no</title><defs><text>no</text></defs><path d=x /> no <g><text x=1>one <tspan>two</tspan></text><text>three</text></g></svg>b", "a one two three b"),
+    ("<svg><path d=x/><script/><div>after</div>", "after"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math> holds", "so x=2 holds"),
+    ("<map name=m><p>in map</p><area></map>", "in map"),
+]
+FIELDS = [
+    ("a<textarea>\nt &lt; <b>\n  u</textarea>", "a t < <b>\n  u"),
+    ("<select><option>no<option selected>yes<option>no</select>!", "yes !"),
+    ("<select><optgroup label=x><option disabled>no<option>first<option>no</optgroup></select>", "first"),
+    ("<select multiple><option>a<option>b</select>", "a\nb"),
+    ("<input value=v><input type=hidden value=no><input type=checkbox value=no><input type=submit value=Go>", "v Go"),
+    ("<select hidden><option>no</select><textarea style='display:none'>no</textarea>x", "x"),
+]
+
+
+@pytest.mark.parametrize("html,text", SHOWN)
+def test_what_a_browser_shows(html, text):
+    assert render(html) == text
+
+
+@pytest.mark.parametrize("html,text", FIELDS)
+def test_fields(html, text, spark):
+    assert render(html, forms=True) == text
+
+
+def test_fields_of_a_table(spark):
+    df = spark.createDataFrame([(1, "x<textarea>y</textarea>")], "page_id long, html string")
+    assert [r.text for r in html_layout.extract_text(df).collect()] == ["x y"]
+
+
+def test_odd_style_sheets():
+    for css in ("{" * 50_000, "}" * 50_000, "/*" * 50_000, "a{" * 50_000, "@media x{" * 20_000, "'" * 50_000, "a{display:none" * 10_000, "(" * 20_000 + "{"):
+        render(f"<style>{css}</style>x")
+    assert render("<svg>" * 20_000 + "<text>x") == "x"
