@@ -343,6 +343,9 @@ def _scorecard_curve_scores(spark, d):
 # no invalid score, accuracy above the majority rate.
 
 CHECK = "check"
+WHOLE = "whole"  # all learners, folds and draws; random_search stays with CHECK, whose budget its SQL states
+#: The learners whose permutation importance the original plots.
+PERMUTED = ("SGD Classifier", "XGBoost", "AdaBoost", "Random Forest Optimized")
 
 
 def _ml(spark, d, k=3):
@@ -420,7 +423,7 @@ def q_random_search(spark, d):
 def q_tuning_summary(spark, d):
     """Best parameters of a randomised search and the learning rate read
     from them by the model's learning-rate key."""
-    p = md.preset(CHECK)
+    p = md.preset(WHOLE)
     spec = md.spec_by_name(p, "XGBoost")
     data = _ml(spark, d, p.folds)
     res = tr.random_search(spec, data.where("split = 'train'"), p.n_iter, p.folds)
@@ -435,10 +438,8 @@ def q_tuning_summary(spark, d):
 
 @query("train_and_evaluate")
 def q_train_and_evaluate(spark, d):
-    p = md.preset(CHECK)
-    metrics, _, errors, _ = tr.train_and_evaluate(
-        spark, _ml(spark, d, p.folds), p,
-        names=["XGBoost", "Random Forest Optimized", "SGD Classifier"], search=True)
+    p = md.preset(WHOLE)
+    metrics, _, errors, _ = tr.train_and_evaluate(spark, _ml(spark, d, p.folds), p, search=True)
     return metrics.select("model", "train_accuracy", "test_accuracy", "cv_accuracy", "sensitivity",
                           "specificity", "precision", F.to_json("best_params").alias("best_params"),
                           "learning_rate")
@@ -446,20 +447,26 @@ def q_train_and_evaluate(spark, d):
 
 @query("learning_curve")
 def q_learning_curve(spark, d):
-    p = md.preset(CHECK)
-    spec = md.spec_by_name(p, "SGD Classifier")
-    return tr.learning_curve(spec, _ml(spark, d, p.folds), p.folds, fractions=[0.1, 0.5, 1.0],
-                             combo={"loss": "log_loss", "alpha": 0.0001})
+    """Ten sizes and five folds of every learner."""
+    p = md.preset(WHOLE)
+    data = _ml(spark, d, p.folds)
+    out = None
+    for spec in p.specs:
+        one = tr.learning_curve(spec, data, p.folds)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("permutation_importance")
 def q_permutation_importance(spark, d):
     p = md.preset(CHECK)
-    spec = md.spec_by_name(p, "XGBoost")
     data = _ml(spark, d, p.folds)
-    model = tr.fit_default(spec, data.where("split = 'train'"))
-    return tr.permutation_importance(model, spec.name, data.where("split = 'test'"), b.FEATURES,
-                                     n_repeats=10)
+    out = None
+    for name in PERMUTED:
+        model = tr.fit_default(md.spec_by_name(p, name), data.where("split = 'train'"))
+        one = tr.permutation_importance(model, name, data.where("split = 'test'"), b.FEATURES, n_repeats=10)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("tree_importance")

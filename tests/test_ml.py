@@ -121,3 +121,41 @@ def test_one_candidate_is_cross_validated_too(spark, sf_small):
     spec.grid = {"n_estimators": [5], "max_depth": [3]}
     res = tr.random_search(spec, _data(spark, sf_small).where("split = 'train'"), 2, 3)
     assert res.n_candidates == 1 and len(res.cv_scores) == 1
+
+
+def test_queries_run_all_learners_sizes_and_folds(spark, sf_small, monkeypatch):
+    """What the queries ask for; the fits themselves are stood in for by rows that say so."""
+    from tabml import catalog
+
+    asked = []
+
+    def curve(spec, data, k, fractions=None, combo=None, parallelism=4):
+        assert fractions is None and {r.fold for r in data.where("split = 'train'").select("fold").distinct().collect()} == set(range(k))
+        return spark.createDataFrame([(spec.name, k)], "model string, k int")
+
+    def loop(spark_, data, p, names=None, search=True, parallelism=1):
+        asked.append(([s.name for s in p.specs if not names or s.name in names], p.folds, p.n_iter, search))
+        raise InterruptedError
+
+    seven = list(md.FULL_GRIDS)
+    monkeypatch.setattr(tr, "learning_curve", curve)
+    monkeypatch.setattr(tr, "train_and_evaluate", loop)
+    assert [(r.model, r.k) for r in catalog.QUERIES["learning_curve"](spark, sf_small).collect()] == [(n, 5) for n in seven]
+    try:
+        catalog.QUERIES["train_and_evaluate"](spark, sf_small)
+    except InterruptedError:
+        pass
+    assert asked == [(seven, 5, 10, True)]
+    full = md.preset("full")
+    for spec in md.preset("whole").specs:
+        want = len(tr.sample_params(md.spec_by_name(full, spec.name).effective_grid(), full.n_iter))
+        assert len(tr.sample_params(spec.effective_grid(), 10)) == want
+    svm = md.spec_by_name(md.preset("check"), "SVM RBF Optimized").build(4)
+    assert svm.getOrDefault(svm.plattFolds) > 1 and svm.getOrDefault(svm.numFeatures) == 64
+
+
+def test_permutation_importance_of_four_learners(spark, sf_small):
+    from tabml import catalog
+
+    rows = catalog.QUERIES["permutation_importance"](spark, sf_small).collect()
+    assert {r.model for r in rows} == set(catalog.PERMUTED) and len(rows) == 4 * len({r.feature for r in rows})
