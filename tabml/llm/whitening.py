@@ -2,8 +2,8 @@
 
 The covariance V is never formed. Vectors become whole numbers x, their sums S
 are exact, and a product V*Q of a few columns is one Spark job: each task sums
-the centred rows times their own products with Q, and the sums are added by a
-grouped aggregate. The driver holds the search space (dimension x a few dozen
+the centred rows times their own products with Q, and the tasks' sums, a few
+hundred numbers each, are added, in tasks too where they are many. The driver holds the search space (dimension x a few dozen
 numbers), never rows.
 
 For the wanted Ritz pairs together, an outer step solves the correction
@@ -15,6 +15,8 @@ pairs, and a pair is locked when its residual is at rounding level.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,20 +53,26 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _sum_of(rows: DataFrame, work, shape: tuple) -> np.ndarray:
-    """The sum over all Arrow batches of ``work(batch)``, an array of ``shape``; summed in tasks, then by entry."""
-    def partial(batches):
-        total = np.zeros(shape)
+#: Partial sums that the driver adds itself; more are added in tasks first, about the square root of their number in each.
+DIRECT = 64
+
+
+def _sum_of(rows: DataFrame, tasks: int, work, shape: tuple) -> np.ndarray:
+    """The sum over all Arrow batches of ``work(batch)``, an array of ``shape``; ``tasks`` is the number of partitions of ``rows``."""
+    size = int(np.prod(shape))
+
+    def added(batches, of):
+        total = np.zeros(size)
         for batch in batches:
             if batch.num_rows:
-                total += work(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], names=["part"])
+                total += of(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["part"])
 
-    parts = rows.mapInArrow(partial, "part array<double>")
-    out = np.zeros(int(np.prod(shape)))
-    for r in parts.select(F.posexplode("part").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).toLocalIterator():
-        out[r.i] = r.v
-    return out.reshape(shape)
+    parts = rows.mapInArrow(lambda batches: added(batches, lambda b: work(b).ravel()), "part array<double>")
+    if tasks > DIRECT:
+        parts = (parts.repartition(math.isqrt(tasks))
+                 .mapInArrow(lambda batches: added(batches, lambda b: _matrix(b.column(0)).sum(axis=0)), "part array<double>"))
+    return np.sum([r.part for r in parts.collect()], axis=0).reshape(shape)
 
 
 def centred(x: np.ndarray, n: int, sums: list[int]) -> np.ndarray:
@@ -78,7 +86,8 @@ class Covariance:
     """Products with the covariance of a table of vectors."""
 
     def __init__(self, rows: DataFrame, n: int, sums: list[int]):
-        self.rows, self.n, self.sums, self.products = rows, n, sums, 0
+        self.rows, self.n, self.sums, self.products = rows.select("x"), n, sums, 0
+        self.tasks = self.rows.rdd.getNumPartitions()
         self.dim = len(sums)
 
     def __matmul__(self, q: np.ndarray) -> np.ndarray:
@@ -89,11 +98,14 @@ class Covariance:
             return x.T @ (x @ q)
 
         self.products += 1
-        return _sum_of(self.rows.select("x"), work, q.shape) / n
+        return self.sum_of(work, q.shape) / n
+
+    def sum_of(self, work, shape: tuple) -> np.ndarray:
+        return _sum_of(self.rows, self.tasks, work, shape)
 
     def trace(self) -> float:
         n, sums = self.n, self.sums
-        return float(_sum_of(self.rows.select("x"), lambda b: np.array([(centred(_matrix(b.column(0)), n, sums) ** 2).sum()]), (1,))[0]) / n
+        return float(self.sum_of(lambda b: np.array([(centred(_matrix(b.column(0)), n, sums) ** 2).sum()]), (1,))[0]) / n
 
 
 def orthonormal(new: np.ndarray, basis: np.ndarray) -> np.ndarray:
@@ -222,8 +234,8 @@ def whiten(vectors: DataFrame, components: int = 8, id_col: str = "vec_id", vect
     def white(batch):
         return centred(_matrix(batch.column(0)), n, sums) @ q * scale
 
-    mean = _sum_of(rows.select("x"), lambda b: white(b).sum(axis=0), (k,)) / n
-    gram = _sum_of(rows.select("x"), lambda b: (white(b) - mean).T @ (white(b) - mean), (k, k)) / n
+    mean = v.sum_of(lambda b: white(b).sum(axis=0), (k,)) / n
+    gram = v.sum_of(lambda b: (white(b) - mean).T @ (white(b) - mean), (k, k)) / n
     error = np.abs(gram - np.eye(k))[np.ix_(real, real)].max(initial=0.0) if real.any() else None
     explained = values / trace if trace > 0 else np.zeros(k)
 

@@ -90,6 +90,13 @@ def test_whole_table(spark, sf_tiny):
     compare(wh.whiten(table).collect(), [i for i, _ in rows], [v for _, v in rows], 8)
 
 
+def test_sums_of_many_tasks(spark):
+    rows = spark.range(0, 3000, 1, 100).select(F.array(F.col("id"), -F.col("id")).alias("x"))
+    for tasks in (1, 100):  # added by the driver alone, or in ten tasks first
+        got = wh._sum_of(rows, tasks, lambda b: wh._matrix(b.column(0)).sum(axis=0).astype(float), (2,))
+        assert got.tolist() == [2999 * 1500.0, -2999 * 1500.0]
+
+
 class Dense:
     """A covariance at hand, which counts products."""
 
