@@ -19,6 +19,7 @@ from tabml.operators import scale as sc
 from tabml.operators import split as sp
 from pyspark.ml.classification import LogisticRegression
 
+from tabml.fits.frame import training_frame
 from tabml.plans import models as md
 from tabml.plans import train as tr
 from tabml.plans.ml_frame import assemble, to_preds
@@ -451,9 +452,10 @@ def q_learning_curve(spark, d):
     p = md.preset(WHOLE)
     data = _ml(spark, d, p.folds)
     out = None
-    for spec in p.specs:
-        one = tr.learning_curve(spec, data, p.folds)
-        out = one if out is None else out.unionByName(one)
+    with tr.curve_frame(data, p.folds) as frame:
+        for spec in p.specs:
+            one = tr.learning_curve(spec, data, p.folds, frame=frame)
+            out = one if out is None else out.unionByName(one)
     return out
 
 
@@ -461,24 +463,21 @@ def q_learning_curve(spark, d):
 def q_permutation_importance(spark, d):
     p = md.preset(CHECK)
     data = _ml(spark, d, p.folds)
-    out = None
-    for name in PERMUTED:
-        model = tr.fit_default(md.spec_by_name(p, name), data.where("split = 'train'"))
-        one = tr.permutation_importance(model, name, data.where("split = 'test'"), b.FEATURES, n_repeats=10)
-        out = one if out is None else out.unionByName(one)
-    return out
+    with training_frame(data.where("split = 'train'")) as frame:
+        models = {name: tr.fit_default(md.spec_by_name(p, name), None, frame=frame) for name in PERMUTED}
+    return tr.permutation_importances(models, data.where("split = 'test'"), b.FEATURES, n_repeats=10)
 
 
 @query("tree_importance")
 def q_tree_importance(spark, d):
     p = md.preset(CHECK)
     data = _ml(spark, d, p.folds)
-    train = data.where("split = 'train'")
     out = None
-    for name in ("XGBoost", "Random Forest Optimized"):
-        m = tr.fit_default(md.spec_by_name(p, name), train)
-        t = tr.tree_importance(m, name, b.FEATURES, spark)
-        out = t if out is None else out.unionByName(t)
+    with training_frame(data.where("split = 'train'")) as frame:
+        for name in ("XGBoost", "Random Forest Optimized"):
+            m = tr.fit_default(md.spec_by_name(p, name), None, frame=frame)
+            t = tr.tree_importance(m, name, b.FEATURES, spark)
+            out = t if out is None else out.unionByName(t)
     return out
 
 
@@ -506,14 +505,16 @@ def q_model_roundtrip(spark, d):
     ready = assemble(sc.apply_scaler(raw, scaler), b.FEATURES).withColumn("label", F.col("label").cast("double"))
     test = raw.where("split = 'test'")
     both = None
+    frame = training_frame(ready.where("split = 'train'"))
     for spec in p.specs:
-        model = tr.fit_default(spec, ready.where("split = 'train'"))
+        model = tr.fit_default(spec, None, frame=frame)
         tr.save_model(tr.scoring_unit(scaler, b.FEATURES, model), spark, spec.name, folder)
         loaded = tr.load_model(spark, spec.name, folder)
         a = model.transform(ready.where("split = 'test'")).select("id", F.col("prediction").alias("p_a"))
         one = (loaded.transform(test).select("id", "prediction").join(a, "id", "full")
                .select(F.lit(spec.name).alias("model"), "p_a", "prediction"))
         both = one if both is None else both.unionByName(one)
+    frame.release()
     counts = both.groupBy("model").agg(F.count(F.lit(1)).alias("n_scored"),
                                        F.count_if(~F.col("p_a").eqNullSafe(F.col("prediction"))).alias("n_mismatch"))
     return tr.model_registry(spark, folder).select("model", "slug").join(counts, "model")

@@ -148,16 +148,21 @@ def fold_train_ranks(folded: DataFrame, k: int, key_col: str = "h",
     One bucketed prefix sum over the training rows carries k + 1 running
     counts (all rows, and rows of each fold); for a row outside fold f,
     rank_f = rank - (rows of fold f before it). The k-1 copies per row are
-    made after the ranking, as a projection, so no copy is shuffled."""
-    train = folded.where(F.col("split") == "train")
+    made after the ranking, as a projection, so no copy is shuffled;
+    ``fold_rank_array`` has the ranks without copies."""
+    ranked = fold_rank_array(folded.where(F.col("split") == "train"), k, key_col, "__ranks", digits)
+    per_fold = F.array(*[F.struct(F.lit(f).alias("cv_fold"), F.col("__ranks")[f].alias("rank_f")) for f in range(k)])
+    return ranked.select("*", F.inline(per_fold)).where(F.col("cv_fold") != F.col("fold")).drop("__ranks")
+
+
+def fold_rank_array(train: DataFrame, k: int, key_col: str = "h", out: str = "ranks", digits: int = 4) -> DataFrame:
+    """Adds the array of each training row's ranks (hash order) in the training parts of folds 0..k-1;
+    the entry of the row's own fold is the number of such rows before it."""
     counts = {"__all": F.lit(1).cast("bigint")}
     counts.update({f"__c{f}": (F.col("fold") == f).cast("bigint") for f in range(k)})
     ranked = bucketed_cumsum(train, [], key_col, hex_bucket(key_col, digits), counts)
-    per_fold = F.array(*[F.struct(F.lit(f).alias("cv_fold"),
-                                  (F.col("__all") - F.col(f"__c{f}")).alias("rank_f"))
-                         for f in range(k)])
-    out = ranked.select("*", F.inline(per_fold)).where(F.col("cv_fold") != F.col("fold"))
-    return out.drop("__all", *[f"__c{f}" for f in range(k)])
+    ranks = F.array(*[F.col("__all") - F.col(f"__c{f}") for f in range(k)])
+    return ranked.withColumn(out, ranks).drop("__all", *[f"__c{f}" for f in range(k)])
 
 
 def learning_curve_subsets(folded: DataFrame, k: int = 5, fractions=None,

@@ -2,11 +2,12 @@
 the multi-model loop, learning curves, permutation / impurity importance,
 batch scoring and model persistence.
 
-Fits are MLlib jobs over a persisted training frame; the search is
-``CrossValidator(foldCol='fold')`` (the stratified folds of
-``tabml.operators.split``), with candidate fits running on driver threads.
-Only small results come back to the driver: metrics rows (one per model),
-chosen parameters, and importance vectors (one value per feature).
+Fits are of ``tabml.fits``: all candidates, folds and sizes of a learner advance
+together over one persisted frame (the stratified folds of
+``tabml.operators.split``). A spec without such a learner is searched by
+``CrossValidator(foldCol='fold')``. Only small results come back to the driver:
+metrics rows (one per model), chosen parameters, the models, and importance
+vectors (one value per feature).
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabml.fits import learners as fl
+from tabml.fits.frame import Frame, Part, training_frame
 from tabml.operators.evaluate import model_metrics
 from tabml.operators.scale import apply_scaler, scale_split
 from tabml.operators.split import fold_train_ranks, learning_curve_sizes, permuted_copies
@@ -71,10 +74,20 @@ class SearchResult:
 
 
 def random_search(spec: ModelSpec, train: DataFrame, n_iter: int, folds: int,
-                  seed: int = SEED, parallelism: int = 4) -> SearchResult:
+                  seed: int = SEED, parallelism: int = 4, frame: Frame | None = None) -> SearchResult:
+    """Random draws of the grid by mean accuracy over the folds of ``train``; the best is fitted on all of it.
+    ``frame`` is the frame of ``train`` with these folds, when several searches share it."""
+    cands = sample_params(spec.effective_grid(), n_iter, seed)
+    if spec.learner is not None:
+        own = frame or training_frame(train, folds)
+        try:
+            model, best, scores = fl.search(spec.learner, own, cands)
+        finally:
+            if frame is None:
+                own.release()
+        return SearchResult(fl.FittedModel(model, own.dim), cands[best], len(cands), scores)
     d = feature_dim(train)
     est = spec.build(d)
-    cands = sample_params(spec.effective_grid(), n_iter, seed)
     maps = [spec.param_map(est, c, d) for c in cands]
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps,
                         evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
@@ -86,10 +99,18 @@ def random_search(spec: ModelSpec, train: DataFrame, n_iter: int, folds: int,
     return SearchResult(cvm.bestModel, cands[best], len(cands), scores)
 
 
-def fit_default(spec: ModelSpec, train: DataFrame, combo: dict | None = None):
+def fit_default(spec: ModelSpec, train: DataFrame, combo: dict | None = None, frame: Frame | None = None):
+    """One fit on all rows of ``train`` (or of its ``frame``) with the given or the grid's first parameters."""
+    combo = combo if combo is not None else _combos(spec.effective_grid())[0]
+    if spec.learner is not None:
+        own = frame or training_frame(train)
+        try:
+            return fl.FittedModel(spec.learner.models(own, [(Part(), combo)])[0], own.dim)
+        finally:
+            if frame is None:
+                own.release()
     d = feature_dim(train)
     est = spec.build(d)
-    combo = combo if combo is not None else _combos(spec.effective_grid())[0]
     return est.fit(train, spec.param_map(est, combo, d))
 
 
@@ -110,18 +131,19 @@ def invariants(preds: DataFrame, split: str = "test") -> DataFrame:
                       .alias("beats_majority"))
 
 
-def evaluate_model(spec: ModelSpec, data: DataFrame, p: Preset, search: bool = True) -> dict:
+def evaluate_model(spec: ModelSpec, data: DataFrame, p: Preset, search: bool = True, frame: Frame | None = None) -> dict:
     """Search (or fit), score train and test, compute metrics; the wall time
-    covers search + refit + scoring, like the reference."""
+    covers search + refit + scoring, like the reference. ``frame`` is the frame
+    of the training rows, when several models share it."""
     t0 = time.time()
     train = data.where(F.col("split") == "train")
     cv_acc = None
     if search and spec.grid:
-        res = random_search(spec, train, p.n_iter, p.folds)
+        res = random_search(spec, train, p.n_iter, p.folds, frame=frame)
         model, params, n_cand = res.model, res.best_params, res.n_candidates
         cv_acc = float(max(res.cv_scores)) if res.cv_scores else None
     else:
-        model, params, n_cand = fit_default(spec, train), None, 1
+        model, params, n_cand = fit_default(spec, train, frame=frame), None, 1
     preds = to_preds(model.transform(data), spec.name)
     row = model_metrics(preds).first()
     elapsed = time.time() - t0
@@ -162,15 +184,21 @@ def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=No
     rows, errors, fitted, preds = [], [], {}, []
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     specs = [s for s in p.specs if not names or s.name in names]
+    folds = p.folds if "fold" in data.columns else 0
+    frame = training_frame(data.where(F.col("split") == "train"), folds) if any(s.learner is not None for s in specs) else None
 
     def run(spec):
         try:
-            return spec, evaluate_model(spec, data, p, search), None
+            return spec, evaluate_model(spec, data, p, search, frame), None
         except Exception as e:  # noqa: BLE001 -- recorded, as in the reference loop
             return spec, None, f"{type(e).__name__}: {e}"
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        results = list(pool.map(run, specs))        # keeps the models' order
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            results = list(pool.map(run, specs))        # keeps the models' order
+    finally:
+        if frame is not None:
+            frame.release()
     for spec, r, err in results:
         if err is not None:
             errors.append((spec.name, err))
@@ -189,16 +217,32 @@ def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=No
 
 # ------------------------------------------------------------ learning curves
 
+def curve_frame(data: DataFrame, k: int) -> Frame:
+    """The frame that the learning curves of several learners share."""
+    return training_frame(data.where(F.col("split") == "train"), k, curve=True)
+
+
 def learning_curve(spec: ModelSpec, data: DataFrame, k: int, fractions=None,
-                   combo: dict | None = None, parallelism: int = 4) -> DataFrame:
+                   combo: dict | None = None, parallelism: int = 4, frame: Frame | None = None) -> DataFrame:
     """(model, fold, train_size, train_score, val_score): one fit per (fold,
-    size) on the leading rows (hash order) of the fold's training part,
-    fits run on driver threads. ``data`` must carry folds 0..k-1."""
+    size) on the leading rows (hash order) of the fold's training part. The
+    fits advance together over ``frame`` (of ``curve_frame``; made here when not
+    given); those of a spec without such a learner run on driver threads.
+    ``data`` must carry folds 0..k-1."""
     spark = data.sparkSession
     train = data.where(F.col("split") == "train")
     counts = {r["fold"]: r["count"] for r in train.groupBy("fold").count().collect()}
     n_max = sum(counts.values()) - counts.get(0, 0)
     sizes = learning_curve_sizes(n_max, fractions)
+    schema = "model string, fold int, train_size bigint, train_score double, val_score double"
+    if spec.learner is not None:
+        own = frame or curve_frame(data, k)
+        try:
+            params = combo if combo is not None else _combos(spec.effective_grid())[0]
+            return spark.createDataFrame([(spec.name, *row) for row in fl.curve(spec.learner, own, sizes, params)], schema)
+        finally:
+            if frame is None:
+                own.release()
     ranked = fold_train_ranks(train, k).persist(StorageLevel.MEMORY_AND_DISK)
     acc = MulticlassClassificationEvaluator(metricName="accuracy")
 
@@ -215,7 +259,6 @@ def learning_curve(spec: ModelSpec, data: DataFrame, k: int, fractions=None,
             out = list(pool.map(one, jobs))
     finally:
         ranked.unpersist()
-    schema = "model string, fold int, train_size bigint, train_score double, val_score double"
     return spark.createDataFrame(out, schema)
 
 
@@ -230,24 +273,34 @@ def tree_importance(model, name: str, names: list[str], spark: SparkSession) ->
 
 def permutation_importance(model, name: str, test: DataFrame, features: list[str],
                            n_repeats: int = 10, seed: int = SEED) -> DataFrame:
-    """Baseline accuracy minus accuracy with one feature permuted, mean and
-    std over repeats. All (feature, repeat) copies of the test rows are built
-    in one plan (``permuted_copies``), scored together with the unpermuted
-    rows in ONE transform, and reduced by a grouped aggregate; the result
-    has one row per feature."""
+    """``permutation_importances`` of one model."""
+    return permutation_importances({name: model}, test, features, n_repeats, seed)
+
+
+def permutation_importances(models: dict, test: DataFrame, features: list[str],
+                            n_repeats: int = 10, seed: int = SEED) -> DataFrame:
+    """(model, feature, importance, importance_std): baseline accuracy minus
+    accuracy with one feature permuted, mean and deviation over repeats. All
+    (feature, repeat) copies of the test rows are built once
+    (``permuted_copies``), every model adds its prediction to them in one plan,
+    and a grouped aggregate reduces them to a row per (feature, repeat)."""
     base = test.select("id", "label", *features)
     copies = permuted_copies(base, features, n_repeats, seed=seed)
     plain = base.withColumn("repeat", F.lit(-1)).withColumn("feature", F.lit(None).cast("string"))
-    scored = model.transform(assemble(copies.unionByName(plain), features))
-    per = scored.groupBy("feature", "repeat").agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("acc"))
-    # per has features x repeats + 1 rows: the baseline is its NULL-feature row
-    baseline = F.max(F.when(F.col("feature").isNull(), F.col("acc"))).over(Window.partitionBy())
+    scored = assemble(copies.unionByName(plain), features)
+    for i, model in enumerate(models.values()):
+        kept = scored.columns
+        scored = model.transform(scored).select(*kept, F.col("prediction").alias(f"prediction_{i}"))
+    per = scored.groupBy("feature", "repeat").agg(*[
+        F.avg((F.col("label") == F.col(f"prediction_{i}")).cast("double")).alias(f"acc_{i}") for i in range(len(models))])
+    rows = per.select("feature", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"acc_{i}").alias("acc"))
+                                                     for i, n in enumerate(models)])).alias("r")).select("feature", "r.*")
+    # a model has features x repeats + 1 rows: the baseline is its NULL-feature row
+    baseline = F.max(F.when(F.col("feature").isNull(), F.col("acc"))).over(Window.partitionBy("model"))
     drop = F.col("base") - F.col("acc")
-    return (per.withColumn("base", baseline).where(F.col("feature").isNotNull())
-               .groupBy("feature").agg(F.avg(drop).alias("importance"),
-                                       F.stddev_pop(drop).alias("importance_std"))
-               .select(F.lit(name).alias("model"), "feature", "importance", "importance_std"))
+    return (rows.withColumn("base", baseline).where(F.col("feature").isNotNull())
+                .groupBy("model", "feature").agg(F.avg(drop).alias("importance"),
+                                                 F.stddev_pop(drop).alias("importance_std")))
 
 
 # ------------------------------------------------------------- persistence

@@ -129,7 +129,7 @@ def test_queries_run_all_learners_sizes_and_folds(spark, sf_small, monkeypatch):
 
     asked = []
 
-    def curve(spec, data, k, fractions=None, combo=None, parallelism=4):
+    def curve(spec, data, k, fractions=None, combo=None, parallelism=4, frame=None):
         assert fractions is None and {r.fold for r in data.where("split = 'train'").select("fold").distinct().collect()} == set(range(k))
         return spark.createDataFrame([(spec.name, k)], "model string, k int")
 
