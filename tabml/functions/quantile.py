@@ -1,16 +1,18 @@
 """Exact, interpolated quantiles (``quantile_cont`` / numpy 'linear') computed
 as a distributed selection instead of one in-memory value map.
 
-Plan (one pass over the data; everything after it reads the persisted
-distinct-value table, and every driver round trip is one row per target):
-
-* unpivot the requested columns and count *distinct* values per
-  (group, column) -- a shuffle with map-side combine, so duplicates never
-  travel twice;
-* refine a value window per target rank: bin the values inside it into
-  equal-width buckets, total the counts per bucket (bounded: targets x
-  buckets), and keep the bucket holding the rank, until it has few enough
-  distinct values to be ordered inside one window task.
+Two passes over the data, neither of which shuffles it:
+
+* a mergeable sketch (``percentile_approx``) brackets every target rank of each
+  (group, column) by two values, a few parts in 10,000 of the ranks apart;
+* a counting pass keeps the distinct values inside the brackets, with counts,
+  and one count for each stretch between them. That table is a small share of
+  the data, and every target rank lies inside a bracket, so the selection on it
+  is exact.
+
+The selection is a running count over the table. Without groups, where one
+column's part of it is too long for one task, value windows are refined first
+by equal-width buckets; only one row per column and target returns to the driver.
 """
 
 from __future__ import annotations
@@ -38,52 +40,101 @@ def unpivot_values(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
 
 
 MAX_FINAL_BUCKET = 1 << 20   # distinct values ordered inside one window task
-MAX_KEYS = 100_000           # (group, column) pairs whose targets go to the driver
+#: Parts of the ranks that the sketch tells apart; brackets are 4 parts to either side.
+ACCURACY = 10_000
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = (),
                     buckets: int = DEFAULT_NUMERIC_BUCKETS,
-                    max_final: int = MAX_FINAL_BUCKET) -> DataFrame:
+                    max_final: int = MAX_FINAL_BUCKET, accuracy: int = ACCURACY) -> DataFrame:
     """Long result (group..., column, p_idx, p, n, value).
 
-    Selection by refinement: every target rank k (two per probability) keeps
-    a value window [lo, hi] and the number of values below it. Each round
-    bins the distinct values inside the windows into equal-width buckets
-    (one aggregate over the persisted distinct-value table), locates the
-    bucket holding k by prefix sums over the small bucket table, and narrows
-    the window to that bucket's [min, max]. A window with at most
-    ``max_final`` distinct values is finished by one ordered window per
-    target. Only one row per target returns to the driver per round."""
+    With groups the result is lazy, of any number of groups: a task orders one
+    (group, column)'s bracketed values, about ``9 * len(probs) / accuracy`` of
+    its rows. Without, the fit happens here, and one row per column and
+    probability comes back; a column of more than ``max_final`` bracketed values
+    is narrowed by ``select_quantiles`` first."""
     g = list(group_cols)
-    vc = distinct_counts(df, cols, g).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = bracketed_counts(df, cols, probs, g, accuracy)
+    if g:
+        return ordered_quantiles(counts, probs, g)
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return select_quantiles(vc, probs, g, buckets, max_final)
+        if counts.groupBy("column").count().where(F.col("count") > max_final).isEmpty():
+            out = ordered_quantiles(counts, probs)
+            return df.sparkSession.createDataFrame(out.collect(), out.schema)
+        return select_quantiles(counts, probs, buckets, max_final)
     finally:
-        vc.unpersist()
-
-
-def distinct_counts(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
-    """(group..., column, value, __cnt): one pass, map-side combined."""
-    return (unpivot_values(df, cols, group_cols)
-            .groupBy(*group_cols, "column", "value").agg(F.count(F.lit(1)).alias("__cnt")))
-
-
-def select_quantiles(vc: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = (),
+        counts.unpersist()
+
+
+def bracketed_counts(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                     group_cols: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
+    """(group..., column, value, __cnt): the distinct values in a bracket around each target rank, with
+    counts, and each stretch outside of all brackets as its largest value with its count. A (group, column)
+    of at most ``accuracy`` values keeps them all."""
+    keys = [*group_cols, "column"]
+    values = unpivot_values(df, cols, group_cols)
+    d = 4.0 / accuracy
+    ends = sorted({min(max(p + s * d, 0.0), 1.0) for p in map(float, probs) for s in (-1, 1)})
+    at = {e: F.get("__q", F.lit(i)) for i, e in enumerate(ends)}
+    sketch = values.groupBy(*keys).agg(F.percentile_approx("value", ends, accuracy).alias("__q"), F.min("value").alias("__min"),
+                                       F.max("value").alias("__max"), F.count(F.lit(1)).alias("__n"))
+    bounds = []
+    for i, p in enumerate(map(float, probs)):
+        lo, hi = max(p - d, 0.0), min(p + d, 1.0)
+        bounds += [(F.col("__min") if lo == 0.0 else at[lo]).alias(f"__lo{i}"), (F.col("__max") if hi == 1.0 else at[hi]).alias(f"__hi{i}")]
+    sketch = sketch.select(*keys, (F.col("__n") <= accuracy).alias("__all"), *bounds)
+    # without groups the sketch has one row per column, which proves its size
+    placed = values.join(sketch if group_cols else F.broadcast(sketch), on=keys)
+    inside, slot = F.col("__all"), F.lit(0)
+    for i in range(len(probs)):
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        inside = inside | ((F.col("value") >= lo) & (F.col("value") <= hi))
+        slot = slot + (F.col("value") >= lo).cast("int") + (F.col("value") > hi).cast("int")
+    return (placed.select(*keys, "value", slot.alias("__slot"), F.when(inside, F.col("value")).alias("__v"))
+            .groupBy(*keys, "__slot", "__v").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("__cnt"))
+            .select(*keys, "value", "__cnt"))
+
+
+def ordered_quantiles(counts: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """The quantiles by a running count over a (group..., column, value, __cnt) table, one (group, column) a task."""
+    keys = [*group_cols, "column"]
+    run = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ends = counts.withColumn("__end", F.sum("__cnt").over(run)).withColumn("n", F.sum("__cnt").over(Window.partitionBy(*keys)))
+    targets = F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    each = ends.select(*keys, "n", "value", "__cnt", "__end", F.inline(targets)).withColumn("__pos", F.col("p") * (F.col("n") - 1).cast("double"))
+
+    def holds(rank):
+        return (F.col("__end") - F.col("__cnt") <= rank) & (rank < F.col("__end"))
+
+    low, high = F.floor("__pos"), F.ceil("__pos")
+    each = each.where(holds(low) | holds(high))
+    picked = each.groupBy(*keys, "p_idx", "p", "n", "__pos").agg(F.max(F.when(holds(low), F.col("value"))).alias("__v0"),
+                                                                F.max(F.when(holds(high), F.col("value"))).alias("__v1"))
+    return picked.select(*keys, "p_idx", "p", F.col("n").cast("long").alias("n"),
+                         (F.col("__v0") + (F.col("__v1") - F.col("__v0")) * (F.col("__pos") - F.floor("__pos"))).alias("value"))
+
+
+def select_quantiles(vc: DataFrame, probs: Sequence[float],
                      buckets: int = DEFAULT_NUMERIC_BUCKETS,
                      max_final: int = MAX_FINAL_BUCKET) -> DataFrame:
-    """The refining selection over a (group..., column, value, __cnt) table
-    (persist it: every round reads it). Long result as ``exact_quantiles``."""
-    g = list(group_cols)
-    keys = g + ["column"]
+    """The refining selection over a (column, value, __cnt) table (persist it:
+    every round reads it). Long result as ``exact_quantiles``; what comes to
+    the driver is one row per column and target.
+
+    Every target rank k (two per probability) keeps a value window [lo, hi] and
+    the number of values below it. Each round bins the values inside the
+    windows into equal-width buckets, locates the bucket holding k by prefix
+    sums over the small bucket table, and narrows the window to that bucket's
+    [min, max]. A window with at most ``max_final`` distinct values is finished
+    by one ordered window per target."""
+    keys = ["column"]
     spark = vc.sparkSession
     stats_df = vc.groupBy(*keys).agg(F.sum("__cnt").alias("n"), F.min("value").alias("__lo"),
                                      F.max("value").alias("__hi"))
-    # size check before anything comes back: one row per (group, column)
-    stats = stats_df.limit(MAX_KEYS + 1).collect()
-    if len(stats) > MAX_KEYS:
-        raise ValueError(f"exact_quantiles: more than {MAX_KEYS} (group, column) pairs; "
-                         "use percentile_approx for high-cardinality grouping")
+    stats = stats_df.collect()   # one row per column
     key_fields = [vc.schema[c] for c in keys]
     targets, open_, done = [], [], []
     for r in stats:

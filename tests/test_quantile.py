@@ -2,8 +2,9 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tabml.functions.quantile import exact_quantiles, fit_quantiles
+from tabml.functions.quantile import bracketed_counts, exact_quantiles, fit_quantiles
 
 
 def test_even_median_interpolates(spark):
@@ -56,3 +57,30 @@ def test_approx_method_close_to_exact(spark):
     for e, a in zip(ex, ap):
         # rank error of the approximation is bounded: compare positions
         assert abs(np.searchsorted(srt, e) - np.searchsorted(srt, a)) <= 5
+
+
+def test_brackets_hold_every_target(spark):
+    """A coarse sketch, so that most values lie outside the brackets; ties, clusters and the ends."""
+    rng = random.Random(9)
+    vals = [rng.gauss(0, 1) for _ in range(6000)] + [0.25] * 1500 + [1e9 + i for i in range(40)] + [-5.0] * 700
+    rng.shuffle(vals)
+    df = spark.createDataFrame([(v, float(i % 3)) for i, v in enumerate(vals)], "x double, y double").repartition(7)
+    probs = [0.0, 0.001, 0.1, 0.25, 0.333, 0.5, 0.6, 0.75, 0.999, 1.0]
+    counts = bracketed_counts(df, ["x", "y"], probs, accuracy=200)
+    assert counts.where("column = 'x'").count() < 2500 and counts.groupBy("column").sum("__cnt").where("`sum(__cnt)` <> 8240").count() == 0
+    got = {(r.column, r.p_idx): r.value for r in exact_quantiles(df, ["x", "y"], probs, accuracy=200).collect()}
+    for c, arr in (("x", np.array(vals)), ("y", np.arange(len(vals)) % 3.0)):
+        for i, p in enumerate(probs):
+            assert abs(got[c, i] - np.percentile(arr, p * 100)) <= 1e-12 * max(1, abs(got[c, i]))
+    few = {r.p_idx: r.value for r in exact_quantiles(df, ["x"], probs, buckets=8, max_final=5, accuracy=200).collect()}
+    assert all(few[i] == got["x", i] for i in few) and len(few) == len(probs)
+
+
+def test_any_number_of_groups(spark):
+    """120,000 (group, column) pairs; their rows stay a table."""
+    df = spark.range(360_000).select((F.col("id") % 60_000).alias("k"), F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
+    out = exact_quantiles(df, ["x", "y"], [0.5], ["k"])
+    assert out.count() == 120_000
+    bad = out.where(F.col("value") != F.when(F.col("column") == "x", F.col("k") + 150_000.0).otherwise(-F.col("k") - 150_000.0))
+    assert bad.count() == 0
+    assert fit_quantiles(df, ["x"], [0.5])["x"] == [179_999.5]
