@@ -141,6 +141,15 @@ def q_scan_labelled(spark, d):
     return scan_labelled(spark, table_path(d, "lineitem"), fmt="parquet", columns=RAW_COLS)
 
 
+@query("scan_csv")
+def q_scan_csv(spark, d):
+    """The labelled scan of a CSV file with a header: lineitem's columns written as CSV, read back with their schema."""
+    raw = read_table(spark, d, "lineitem", RAW_COLS)
+    path = f"{work_dir(spark, 'csv')}/lineitem-{uuid.uuid4().hex}"
+    raw.write.option("header", True).csv(path)
+    return scan_labelled(spark, path, fmt="csv", schema=raw.schema, columns=RAW_COLS)
+
+
 def _dirty(spark, d):
     """A labelled frame with an id, real gaps and a text class."""
     f = b.feat_raw(spark, d)
@@ -344,7 +353,7 @@ def _scorecard_curve_scores(spark, d):
 # no invalid score, accuracy above the majority rate.
 
 CHECK = "check"
-WHOLE = "whole"  # all learners, folds and draws; random_search stays with CHECK, whose budget its SQL states
+WHOLE = "whole"  # all learners, folds and draws
 #: The learners whose permutation importance the original plots.
 PERMUTED = ("SGD Classifier", "XGBoost", "AdaBoost", "Random Forest Optimized")
 
@@ -411,7 +420,7 @@ def q_train_linear(spark, d):
 
 @query("random_search")
 def q_random_search(spark, d):
-    p = md.preset(CHECK)
+    p = md.preset(WHOLE)
     spec = md.spec_by_name(p, "Random Forest Optimized")
     data = _ml(spark, d, p.folds)
     res = tr.random_search(spec, data.where("split = 'train'"), p.n_iter, p.folds)

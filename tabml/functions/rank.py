@@ -5,7 +5,8 @@ in a binary problem) to one task, and ``Window.orderBy(key)`` sends the whole
 table. Both are avoided here by a two-phase plan:
 
 1. every row gets a coarse *bucket* that is monotone in the order key
-   (leading md5 hex digits, or an equal-width bin of a numeric key);
+   (leading md5 hex digits, or for a numeric key the cell between two cuts of a
+   quantile sketch, cut evenly once more);
 2. per-(group, bucket) totals form a small table whose size is bounded by
    groups x buckets, not by the data; a window over it gives each bucket's
    offset;
@@ -83,23 +84,42 @@ def equal_width_bucket(x, lo, hi, buckets: int = DEFAULT_NUMERIC_BUCKETS) -> Col
     return F.least(F.coalesce(raw, F.lit(0)).cast("bigint"), F.lit(buckets - 1).cast("bigint"))
 
 
+#: Cells of a quantile sketch that a numeric key's buckets subdivide.
+SKETCH_CELLS = 256
+
+
+def sketch_bucket(df: DataFrame, group_cols: Sequence[str], order_col: str, out: str,
+                  buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
+    """Adds ``out``, a monotone bucket of a numeric key: the cell between two
+    cuts of its group's quantile sketch, and the even part of that cell. A cell
+    holds about 1 / 256 of a group's rows however the key is distributed."""
+    g = list(group_cols)
+    cells = min(SKETCH_CELLS, buckets)
+    share = [i / cells for i in range(1, cells)]
+    cuts = df.groupBy(*g).agg(F.percentile_approx(order_col, share, 10_000).alias("__cuts") if share else F.array().cast("array<double>").alias("__cuts"),
+                              F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
+    # One row per group (groups are models / columns: bounded by the caller,
+    # not by the data), so the broadcast is safe; a shuffle join here would
+    # put every row of a group into one task.
+    x = df.join(F.broadcast(cuts), on=g, how="inner")
+    x = x.withColumn("__cell", F.size(F.filter("__cuts", lambda c: c <= F.col(order_col))))
+    low = F.when(F.col("__cell") == 0, F.col("__lo")).otherwise(F.get("__cuts", F.col("__cell") - 1))
+    high = F.coalesce(F.get("__cuts", F.col("__cell")), F.col("__hi"))
+    part = equal_width_bucket(order_col, low, high, max(1, buckets // cells))
+    return (x.withColumn(out, F.col("__cell").cast("bigint") * F.lit(max(1, buckets // cells)) + part)
+             .drop("__cuts", "__lo", "__hi", "__cell"))
+
+
 def numeric_cumsum(df: DataFrame, group_cols: Sequence[str], order_col: str,
                    values: dict[str, Column], descending: bool = False,
                    buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
-    """bucketed_cumsum for a numeric order key with per-group equal-width bins.
+    """bucketed_cumsum for a numeric order key with per-group sketch buckets.
     The key must be distinct within a group (aggregate ties first)."""
     g = list(group_cols)
     if not g:
         df, g = df.withColumn("__g", F.lit(0)), ["__g"]
-    # One row per group (groups are models / columns: bounded by the caller,
-    # not by the data), so the broadcast is safe; a shuffle join here would
-    # put every row of a group into one task.
-    bounds = df.groupBy(*g).agg(F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
-    tmp = df.join(F.broadcast(bounds), on=g, how="inner")
-    out = bucketed_cumsum(tmp, g, order_col,
-                          equal_width_bucket(order_col, "__lo", "__hi", buckets),
-                          values, descending=descending)
-    return out.drop("__lo", "__hi", "__g")
+    tmp = sketch_bucket(df, g, order_col, "__nb", buckets)
+    return bucketed_cumsum(tmp, g, order_col, F.col("__nb"), values, descending=descending).drop("__nb", "__g")
 
 
 def average_rank(value: str, partition: Sequence[str] = (), ascending: bool = False) -> Column:

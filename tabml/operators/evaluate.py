@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabml.functions.exprs import CLASS_NAMES, f1_expr, safe_div
-from tabml.functions.rank import DEFAULT_NUMERIC_BUCKETS, bucketed_cumsum
+from tabml.functions.rank import DEFAULT_NUMERIC_BUCKETS, bucketed_cumsum, sketch_bucket
 
 R = 6  # decimals kept in derived floating results
 
@@ -134,33 +134,32 @@ def error_analysis(preds: DataFrame, split: str = "test") -> DataFrame:
 
 # --------------------------------------------------------------------- curves
 
-def _score_points(preds: DataFrame, split: str, buckets: int) -> DataFrame:
+def _score_points(preds: DataFrame, split: str, buckets: int) -> tuple[DataFrame, DataFrame]:
     """One row per (model, distinct score) with pos/neg counts, cumulative tp
-    / fp in descending score order, and the model totals P / N.
-    Models without probabilities (NULL score) are absent.
-
-    Scores are probabilities, so the monotone bucket is a fixed bin of the
-    score clamped to [0, 1] (an out-of-range score still orders correctly,
-    it only lands in an edge bin). P and N come from the bucket totals of the
-    prefix sums, so the distinct-score table is read by one exchange."""
+    / fp in descending score order, and the model totals P / N; and the table
+    of the totals (one row per model). Models without probabilities (NULL
+    score) are absent.
+
+    The monotone bucket follows a sketch of each model's distinct scores, so
+    scores that crowd near 0 and 1 are spread like any others. P and N come
+    from the bucket totals of the prefix sums, so the distinct-score table is
+    exchanged once."""
     p = preds.where((F.col("split") == split) & F.col("score").isNotNull())
     pts = p.groupBy("model", "score").agg(
         F.sum(F.col("label").cast("bigint")).alias("pos"),
         F.sum((1 - F.col("label")).cast("bigint")).alias("neg"))
-    clamped = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    bucket = F.least(F.floor(clamped * F.lit(float(buckets))).cast("bigint"),
-                     F.lit(buckets - 1).cast("bigint"))
-    cum, totals = bucketed_cumsum(pts.withColumn("bucket", bucket), ["model"], "score",
+    pts = sketch_bucket(pts, ["model"], "score", "bucket", buckets)
+    cum, totals = bucketed_cumsum(pts, ["model"], "score",
                                   F.col("bucket"), {"tp": F.col("pos"), "fp": F.col("neg")},
                                   descending=True, return_totals=True)
     # one row per model: bounded by the number of models
     tot = totals.groupBy("model").agg(F.sum("tp_total").alias("P"), F.sum("fp_total").alias("N"))
-    return cum.join(F.broadcast(tot), on="model")
+    return cum.join(F.broadcast(tot), on="model"), tot
 
 
 def roc_points(preds: DataFrame, split: str = "test",
                buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
-    return _score_points(preds, split, buckets)
+    return _score_points(preds, split, buckets)[0]
 
 
 def _roc_select(df: DataFrame) -> DataFrame:
@@ -169,8 +168,7 @@ def _roc_select(df: DataFrame) -> DataFrame:
                      _r(safe_div("tp", "P")).alias("tpr"), _r(safe_div("fp", "N")).alias("fpr"))
 
 
-def _origin(pts: DataFrame) -> DataFrame:
-    tot = pts.select("model", "P", "N").distinct()
+def _origin(tot: DataFrame) -> DataFrame:
     return tot.select("model", F.lit(None).cast("double").alias("threshold"),
                       F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp"),
                       F.lit(0.0).alias("tpr"), F.lit(0.0).alias("fpr"))
@@ -180,8 +178,8 @@ def roc_curve(preds: DataFrame, split: str = "test",
               buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
     """Every distinct score is a threshold: (model, threshold, tp, fp, tpr,
     fpr) plus the origin (threshold NULL)."""
-    pts = roc_points(preds, split, buckets)
-    return _roc_select(pts).unionByName(_origin(pts))
+    pts, tot = _score_points(preds, split, buckets)
+    return _roc_select(pts).unionByName(_origin(tot))
 
 
 def roc_curve_pruned(preds: DataFrame, split: str = "test",
@@ -191,7 +189,7 @@ def roc_curve_pruned(preds: DataFrame, split: str = "test",
     last points are always kept. The 'next point' is found bucket-locally;
     the first row of the next non-empty bucket comes from the small
     per-bucket table."""
-    pts = roc_points(preds, split, buckets)
+    pts, tot = _score_points(preds, split, buckets)
     first = (pts.groupBy("model", "bucket")
                 .agg(F.max_by(F.struct("pos", "neg"), F.col("score")).alias("f")))
     wb = Window.partitionBy("model").orderBy(F.col("bucket").desc())
@@ -204,7 +202,7 @@ def roc_curve_pruned(preds: DataFrame, split: str = "test",
     is_last = F.col("nxt").isNull()
     changes = (F.col("nxt.pos") != F.col("pos")) | (F.col("nxt.neg") != F.col("neg"))
     kept = x.where(is_first | is_last | changes)
-    return _roc_select(kept).unionByName(_origin(pts))
+    return _roc_select(kept).unionByName(_origin(tot))
 
 
 def roc_auc(preds: DataFrame, split: str = "test",
@@ -226,12 +224,12 @@ def pr_curve(preds: DataFrame, split: str = "test",
              buckets: int = DEFAULT_NUMERIC_BUCKETS) -> DataFrame:
     """Precision-recall points, one per distinct score, plus the (recall 0,
     precision 1) end point. Recall is 1 when a model saw no positive."""
-    pts = roc_points(preds, split, buckets)
+    pts, tot = _score_points(preds, split, buckets)
     rec = F.when(F.col("P") == 0, F.lit(1.0)).otherwise(safe_div("tp", "P"))
     curve = pts.select("model", F.col("score").alias("threshold"),
                        _r(safe_div("tp", F.col("tp") + F.col("fp"))).alias("precision"),
                        _r(rec).alias("recall"))
-    end = pts.select("model").distinct().select(
+    end = tot.select(
         "model", F.lit(None).cast("double").alias("threshold"),
         F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(end)

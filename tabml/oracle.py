@@ -313,6 +313,9 @@ FROM documents d JOIN labels l USING (doc_id)""")
 
 # ------------------------------------------------------------ scan / clean
 
+register("scan_csv", """
+SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag FROM lineitem""")
+
 register("scan_labelled", """
 SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag FROM lineitem""")
 
@@ -620,7 +623,7 @@ register("train_stacking", _invariant(["Stacking Enhanced"]))
 register("train_linear", _invariant(["SGD Classifier (log_loss)", "SGD Classifier (hinge)"]))
 
 register("random_search", TEST3 + """
-SELECT 'Random Forest Optimized' AS model, 2 AS n_candidates, 3 AS n_folds, count(*) AS n_scored,
+SELECT 'Random Forest Optimized' AS model, 10 AS n_candidates, 5 AS n_folds, count(*) AS n_scored,
        CAST(0 AS BIGINT) AS n_invalid_scores, true AS beats_majority
 FROM folded WHERE split = 'test'""")
 

@@ -12,19 +12,38 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabml.functions.exprs import md5_key
 from tabml.operators import evaluate as ev
 from tabml.operators import profile as pf
 from tabml.operators import report as rp
+from tabml.operators import split as sp
 from tabml.sources.tables import write_result
 
 
 def report_tables(labelled: DataFrame, features: Sequence[str], preds: DataFrame,
-                  metrics: DataFrame, label_col: str = "label") -> dict[str, DataFrame]:
-    """Name -> DataFrame of every report (lazy)."""
+                  metrics: DataFrame, label_col: str = "label", curves: DataFrame | None = None,
+                  importance: DataFrame | None = None, id_col: str = "id") -> dict[str, DataFrame]:
+    """Name -> DataFrame of every report (lazy). ``curves`` (of
+    ``plans.train.learning_curve``) and ``importance`` (of
+    ``permutation_importances`` or ``tree_importance``) add the reports on
+    them; a table without an id gets one from its rows' content."""
     feats = list(features)
     test = preds.where("split = 'test'")
-    return {
+    keyed = labelled if id_col in labelled.columns else labelled.withColumn(id_col, md5_key(*feats, label_col, seed="row"))
+    keyed = keyed.withColumn("h", md5_key(id_col, seed=42))
+    more = {}
+    if curves is not None:
+        agg = rp.learning_curve_agg(curves)
+        more |= {"learning_curve": agg, "overfit_gap": rp.overfit_gap(agg)}
+    if importance is not None:
+        more["importance_topk"] = rp.importance_topk_pivot(importance, k=10, models=sorted(
+            r.model for r in importance.select("model").distinct().collect()))  # one row per model
+    return more | {
+        "cv_fold_layout": sp.cv_fold_layout(keyed.where(F.col(label_col).isNotNull()), label_col=label_col, id_col=id_col),
+        "missing_cells": pf.missing_cells(keyed, feats + [label_col], id_col=id_col),
+        "correlation_lower": pf.correlation_lower(labelled, feats + [label_col]),
         "model_leaderboard": rp.model_leaderboard(metrics),
         "time_vs_accuracy": rp.time_vs_accuracy(metrics),
         "radar_metrics": rp.radar_metrics(metrics),
@@ -50,13 +69,14 @@ def report_tables(labelled: DataFrame, features: Sequence[str], preds: DataFrame
 
 
 def run_all(spark: SparkSession, labelled: DataFrame, features: Sequence[str], preds: DataFrame,
-            metrics: DataFrame, out_dir: str, only: Sequence[str] | None = None) -> DataFrame:
+            metrics: DataFrame, out_dir: str, only: Sequence[str] | None = None,
+            curves: DataFrame | None = None, importance: DataFrame | None = None) -> DataFrame:
     """Write every report under ``out_dir``; returns (report, n_rows, error)
     -- one row per report."""
     ins = [x.persist(StorageLevel.MEMORY_AND_DISK) for x in (labelled, preds, metrics)]
     status = []
     try:
-        for name, df in report_tables(*ins[:1], features, *ins[1:]).items():
+        for name, df in report_tables(*ins[:1], features, *ins[1:], curves=curves, importance=importance).items():
             if only and name not in only:
                 continue
             path = f"{out_dir.rstrip('/')}/{name}"
