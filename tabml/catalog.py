@@ -25,6 +25,7 @@ from tabml.plans import train as tr
 from tabml.plans.ml_frame import assemble, to_preds
 from tabml.session import work_dir
 from tabml.sources import bindings as b
+from tabml.sources.cache import releasing
 from tabml.sources.tables import read_table, scan_labelled, table_path
 from tabml.streaming.score_stream import score_available
 
@@ -34,7 +35,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = releasing(fn)
         return fn
     return deco
 

@@ -16,6 +16,7 @@ import itertools
 import json
 import random
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -38,6 +39,7 @@ from tabml.operators.split import fold_train_ranks, learning_curve_sizes, permut
 from tabml.plans.ml_frame import assemble, feature_dim, to_preds
 from tabml.plans.models import ModelSpec, Preset
 from tabml.session import work_dir
+from tabml.sources.cache import held
 
 SEED = 42
 
@@ -174,15 +176,15 @@ def train_and_evaluate(spark: SparkSession, data: DataFrame, p: Preset, names=No
     """The multi-model loop: a failing model is recorded in ``errors`` and
     skipped. Returns (metrics, preds, errors, fitted models by name). The
     metrics / errors tables have one row per model (built on the driver).
-    ``data`` is persisted (every model reads it several times) and stays
-    persisted because ``preds`` reads it lazily; call ``data.unpersist()``
-    when the predictions are no longer needed.
+    ``data`` is persisted (every model reads it several times) and stays so
+    because ``preds`` reads it lazily; a registered query releases it with its
+    result, another caller by ``data.unpersist()``.
 
     ``parallelism`` > 1 runs that many models' searches at once on driver
     threads (better use of a large cluster); each model's ``training_time``
     then includes waiting for shared executors."""
     rows, errors, fitted, preds = [], [], {}, []
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = held(data)
     specs = [s for s in p.specs if not names or s.name in names]
     folds = p.folds if "fold" in data.columns else 0
     frame = training_frame(data.where(F.col("split") == "train"), folds) if any(s.learner is not None for s in specs) else None
@@ -305,26 +307,34 @@ def permutation_importances(models: dict, test: DataFrame, features: list[str],
 
 # ------------------------------------------------------------- persistence
 
+REGISTRY = "model string, slug string, path string, saved_at double"
+
+
 def save_model(model, spark: SparkSession, name: str, folder: str | None = None) -> str:
-    """Persist a fitted MLlib model under the shared folder, file name =
-    lower-cased name with blanks as underscores, and record (model, slug,
-    path) in the folder's registry table, so the display name is read back
-    exactly instead of being rebuilt from the file name."""
+    """Persist a fitted model under the shared folder, folder name = lower-cased
+    name with blanks as underscores, and record (model, slug, path) in the
+    registry, so the display name is read back exactly instead of being rebuilt
+    from the folder name.
+
+    Every save writes a folder of its own, and its registry entry, a file of
+    its own, only when the model is complete: that file is the pointer to the
+    version. A reader never sees half a model, and savers of one name do not
+    disturb each other; the latest entry counts."""
     folder = (folder or work_dir(spark, "models")).rstrip("/")
     slug_name = name.lower().replace(" ", "_")
-    path = f"{folder}/{slug_name}"
+    version = uuid.uuid4().hex
+    path = f"{folder}/{version}/{slug_name}"
     model.write().overwrite().save(path)
-    entry = spark.createDataFrame([(name, slug_name, path, time.time())],
-                                  "model string, slug string, path string, saved_at double")
-    entry.write.mode("append").parquet(f"{folder}/_registry")
+    entry = spark.createDataFrame([(name, slug_name, path, time.time())], REGISTRY)
+    entry.coalesce(1).write.parquet(f"{folder}/_registry/{version}")
     return path
 
 
 def model_registry(spark: SparkSession, folder: str | None = None) -> DataFrame:
     """Latest registry entry per model name."""
     folder = (folder or work_dir(spark, "models")).rstrip("/")
-    reg = spark.read.parquet(f"{folder}/_registry")
-    return reg.groupBy("model").agg(F.max_by(F.struct("slug", "path"), "saved_at").alias("e")) \
+    reg = spark.read.schema(REGISTRY).option("recursiveFileLookup", True).parquet(f"{folder}/_registry")
+    return reg.groupBy("model").agg(F.max_by(F.struct("slug", "path"), F.struct("saved_at", "path")).alias("e")) \
         .select("model", "e.slug", "e.path")
 
 

@@ -17,12 +17,12 @@ views of ``lineitem``:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabml.functions.exprs import md5_key
 from tabml.operators.split import split_and_folds
+from tabml.sources.cache import held
 from tabml.sources.tables import read_table
 
 SEED = 42
@@ -75,11 +75,11 @@ def dup_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def folded(spark: SparkSession, sf_dir: str, k: int = 5) -> DataFrame:
     """feat with split (20 % stratified test) and k stratified folds.
 
-    Persisted (memory, spilling to disk): every report reads it several
-    times (two-phase ranks read their input twice, curves read it per
-    branch), and without it the md5 ranking would be recomputed per read.
-    Lost blocks are recomputed from lineage."""
-    return split_and_folds(feat(spark, sf_dir), k=k).persist(StorageLevel.MEMORY_AND_DISK)
+    Held (memory, spilling to disk) as long as the query's result: every
+    report reads it several times (two-phase ranks read their input twice,
+    curves read it per branch), and without it the md5 ranking would be
+    recomputed per read. Lost blocks are recomputed from lineage."""
+    return held(split_and_folds(feat(spark, sf_dir), k=k))
 
 
 def scorecard_preds(df: DataFrame, keep=("id", "split", "label")) -> DataFrame:

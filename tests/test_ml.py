@@ -159,3 +159,48 @@ def test_permutation_importance_of_four_learners(spark, sf_small):
 
     rows = catalog.QUERIES["permutation_importance"](spark, sf_small).collect()
     assert {r.model for r in rows} == set(catalog.PERMUTED) and len(rows) == 4 * len({r.feature for r in rows})
+
+
+def test_savers_of_one_name_never_show_half_a_model(spark, sf_small, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabml.fits import learners as fl
+
+    folder, test = str(tmp_path / "models"), _data(spark, sf_small).where("split = 'test'").limit(50).cache()
+    models = [fl.FittedModel(fl.from_dict({"type": "TreeModel", "kind": "forest", "edges": [[0.0]] * 4, "weights": [1.0],
+                                           "trees": [[[0, -1, -1], [0, 0, 0], [1, 0, 0], [0.0, a, 1 - a], [1.0, 0.0, 0.0]]]}), 4) for a in (0.1, 0.9)]
+    want = [[r.prediction for r in m.transform(test).orderBy("id").collect()] for m in models]
+
+    def save(i):
+        tr.save_model(models[i % 2], spark, "One Name", folder)
+        got = [r.prediction for r in tr.load_model(spark, "One Name", folder).transform(test).orderBy("id").collect()]
+        return got in want
+
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(save, range(8)))
+    assert tr.model_registry(spark, folder).count() == 1
+    import os
+    os.makedirs(f"{folder}/half/one_name/metadata")  # a saver that died before its entry
+    assert tr.load_model(spark, "One Name", folder) is not None
+
+
+def test_held_tables_go_with_the_result(spark, sf_small):
+    import gc
+
+    from tabml import catalog
+    from tabml.sources import cache
+
+    gc.collect()
+    cache.release()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    a = catalog.QUERIES["model_metrics"](spark, sf_small)
+    b2 = catalog.QUERIES["error_analysis"](spark, sf_small)   # holds the same table
+    rows = a.count() + b2.count()
+    assert rows == 8 and spark.sparkContext._jsc.getPersistentRDDs().size() > before
+    del a
+    gc.collect()
+    cache.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() > before and b2.count() == 4
+    del b2
+    gc.collect()
+    assert cache.release() == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
