@@ -61,10 +61,12 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes of all documents that strings of 400 bytes occurring elsewhere cover."""
+    """Bytes of all documents that strings of 400 bytes occurring elsewhere cover; the removed spans, and the text that is
+    left (null where a cut falls inside a character)."""
     rows = suffix_refine.remove_repeats(_table(spark, sf_dir, "documents"), length=400)
     return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
-                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                       "removed", F.try_validate_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,16 @@
 
 White space never lies inside a token of a word BPE, so a text's ids are the
 ids of its white-space-separated chunks in order. Chunks repeat a lot: Arrow
-splits and dictionary-encodes a slice of texts, each distinct chunk is looked up
-once, and the ids are gathered with numpy. The caches of a Python worker are
-bounded: a full one becomes the old one, from which what is still in use moves
-over, and the old one before it goes. That changes no result.
+splits and dictionary-encodes a slice of texts, cuts the distinct chunks of
+plain characters into words and dictionary-encodes these too, so that each
+distinct word of a slice is looked up once, and the ids are gathered with numpy.
+The caches of a Python worker are bounded: a full one becomes the old one, from
+which what is still in use moves over, and the old one before it goes. That
+changes no result.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 #: Latin-1 letters, digits and ASCII punctuation but the apostrophe: for these
 #: the tokenizer's pre-tokens are runs of letters, single digits and runs of
 #: punctuation, and lower-casing and NFC work on each character alone.
-_PLAIN = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:-@\[-`{-~]+")
-_PRE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+_PLAIN = r"^[0-9A-Za-zÀ-ÖØ-öø-ÿ!-&(-/:-@\[-`{-~]+$"
+_CUT = r"([0-9]|[!-&(-/:-@\[-`{-~]+)"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,11 +50,28 @@ class Cache:
         return out
 
 
+def _joined(parts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids of ``parts`` (bytes), and where each part's begin and how many they are."""
+    parts = list(parts)
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
+    return np.frombuffer(b"".join(parts), "<u4"), np.cumsum(size) - size, size
+
+
+def _gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray, index: pa.Array, offsets: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the parts ``index``, and where those of each list, given by ``offsets`` into ``index``, end."""
+    index, offsets = index.to_numpy(zero_copy_only=False), offsets.to_numpy()
+    n = size[index]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    ids = flat[np.repeat(start[index] - (ends - n), n) + np.arange(total)]
+    return ids, np.concatenate([[0], ends])[offsets - offsets[0]]
+
+
 class WordBpe:
     """Encodes Arrow string arrays; ids equal ``encode(text, add_special_tokens=False)``."""
 
-    #: entries of about 200 bytes in one generation of a cache
-    CACHE = 100_000
+    #: entries of about 200 bytes in one generation of a cache: of words, and of chunks of other characters
+    WORDS, OTHERS = 200_000, 20_000
     #: bytes of text that are split at once
     SLICE = 3 << 20
 
@@ -64,33 +81,30 @@ class WordBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.chunks, self.words = Cache(self._chunk, self.CACHE), Cache(self._word, self.CACHE)
+        self.words, self.others = Cache(self._word, self.WORDS), Cache(self._other, self.OTHERS)
 
     def _word(self, word: str) -> bytes:
         level = word.encode("utf-8").decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.model.tokenize(level)], "<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not chunk:
-            return b""
-        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            return b"".join([self.words.get(w) for w in _PRE.findall(chunk.lower())])
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    def _other(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes() if chunk else b""
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        parts = list(map(self.chunks.get, coded.dictionary.to_pylist()))
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-        start = np.cumsum(size) - size
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        n = size[index]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(start[index] - (ends - n), n) + np.arange(total)]
-        offsets = lists.offsets.to_numpy()
-        return ids, np.concatenate([[0], ends])[offsets - offsets[0]]
+        chunks = coded.dictionary
+        plain = pc.and_(pc.match_substring_regex(chunks, _PLAIN), pc.invert(pc.match_substring(chunks, "<|")))
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(chunks.filter(plain)), _CUT, r" \1 "))
+        word = words.flatten().dictionary_encode()
+        ids, cut = _gathered(*_joined(map(self.words.get, word.dictionary.to_pylist())), word.indices, words.offsets)
+        other, start, size = _joined(map(self.others.get, chunks.filter(pc.invert(plain)).to_pylist()))
+        # where each distinct chunk's ids are
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        starts, sizes = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+        starts[is_plain], sizes[is_plain] = cut[:-1], np.diff(cut)
+        starts[~is_plain], sizes[~is_plain] = start + len(ids), size
+        return _gathered(np.concatenate([ids, other]), starts, sizes, coded.indices, lists.offsets)
 
     def encode(self, texts: pa.Array):
         """Yield one ``uint32`` array per text; a null text counts as empty."""
