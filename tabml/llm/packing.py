@@ -122,6 +122,10 @@ class LevelPacker:
                 size -= part
 
 
+#: Pieces, of up to a window of ids each, in one batch of results.
+OUT_ROWS = 1024
+
+
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1,
          id_col: str = "doc_id", text_col: str = "text", max_open: int = 4096, as_list: bool = False) -> DataFrame:
     """Pack the token ids of all documents into windows of at most ``window`` ids.
@@ -161,7 +165,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
             end = np.array([end_id], np.uint32)
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode(batch.column(1))):
                 packer.add(doc, np.concatenate([ids, end]))
-                if len(out) >= 4096:
+                if len(out) >= OUT_ROWS:
                     yield rows(kind)
         packer.drain(last=True)
         if out:

@@ -71,7 +71,7 @@ class WordBpe:
     """Encodes Arrow string arrays; ids equal ``encode(text, add_special_tokens=False)``."""
 
     #: entries of about 200 bytes in one generation of a cache: of words, and of chunks of other characters
-    WORDS, OTHERS = 200_000, 20_000
+    WORDS, OTHERS = 100_000, 10_000
     #: bytes of text that are split at once
     SLICE = 3 << 20
 
