@@ -117,7 +117,7 @@ def unit_digests(docs: DataFrame, min_words: int, whole_lines: bool = False) ->
 def repeated_units(docs: DataFrame, min_words: int, whole_lines: bool = False) -> DataFrame:
     """``(doc_id, row_hash, start, end)`` of all units but the first of each repeated digest; units of a
     row that is repeated as a whole come once, as later occurrences unless they are the first."""
-    found = unit_digests(docs, min_words, whole_lines)
+    found = stored(unit_digests(docs, min_words, whole_lines), "unit-digests")  # read twice
     digests = (found.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row_hash", "start")).alias("first"))
                .where("n > 1"))
     later = (F.col("row_hash") != F.col("first.row_hash")) | (F.col("start") != F.col("first.start")) | ~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
