@@ -8,7 +8,7 @@ from tabml.llm.queries import QUERIES, tokenizer_path
 
 def test_names():
     assert [n for n, _ in cp.STAGES] == ["language_id", "near_dedup", "substring_dedup", "mix_sources", "pack"]
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stage_by_stage(spark, sf_tiny):
