@@ -271,6 +271,14 @@ def q_scale_power(spark, d):
     return _scaled(spark, d, "power")
 
 
+@query("power_lambdas")
+def q_power_lambdas(spark, d):
+    """Each feature's likeliest Yeo-Johnson lambda over the training rows, refined beyond the grid."""
+    train = b.folded(spark, d).where("split = 'train'").select(*b.FEATURES)
+    fitted = sc.fit_power(train, b.FEATURES, tol=1e-8)
+    return spark.createDataFrame([(c, round(lam, 5)) for c, (lam, _, _) in fitted.items()], "column string, lam double")
+
+
 # ------------------------------------------------------------ reports
 
 @query("model_leaderboard")

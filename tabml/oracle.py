@@ -497,6 +497,28 @@ SELECT id, split, """ + ", ".join(
 
 register("scale_power", _power_sql())
 
+
+def _lambda_sql() -> str:
+    """Grids of step 0.1, 0.01, 0.001 and 0.0001, each around the best point of the one before,
+    then the vertex of the parabola through the last best point and its two neighbours."""
+    long = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS x FROM folded WHERE split = 'train' "
+        f"AND {c} IS NOT NULL" for c in FEATS)
+    out = FOLDED_BASE + f",\ntl AS ({long}),\nb0 AS (SELECT DISTINCT column, 0.0::DOUBLE AS lam FROM tl)"
+    for i, (reach, parts) in enumerate(((30, 10), (10, 100), (10, 1000), (10, 10000), (1, 10000)), 1):
+        out += f""",
+g{i} AS (SELECT column, round(lam + CAST(k AS DOUBLE) / {parts}.0, 4) AS lam
+       FROM b{i - 1}, (SELECT range AS k FROM range(-{reach}, {reach + 1})) t),
+l{i} AS (SELECT column, lam, -count(*) / 2.0 * ln(var_pop({_yj('x', 'lam')})) + (lam - 1.0) * sum(sign(x) * ln(1 + abs(x))) AS ll
+       FROM tl JOIN g{i} USING (column) GROUP BY column, lam),
+b{i} AS (SELECT column, arg_max(lam, ll) AS lam FROM l{i} GROUP BY column)"""
+    return out + """,
+three AS (SELECT column, list(ll ORDER BY lam) AS y, median(lam) AS lam FROM l5 GROUP BY column)
+SELECT column, round(lam + 0.0001 * (y[1] - y[3]) / (2.0 * (y[1] - 2.0 * y[2] + y[3])), 5) AS lam FROM three"""
+
+
+register("power_lambdas", _lambda_sql())
+
 # ------------------------------------------------------------ reports
 
 register("model_leaderboard", METRIC_BASE + """

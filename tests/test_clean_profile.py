@@ -147,3 +147,46 @@ def test_power_lambda_beyond_the_first_grid(spark):
 
     assert llf(lam) >= max(llf(lam - 0.01), llf(lam + 0.01)) and llf(lam) >= max(llf(lam + k / 4) for k in range(-10, 11))
     assert all(abs(r.c) < 1e-12 for r in sc.apply_power(df, fitted).collect())
+
+
+def test_power_lambda_to_the_maximum(spark):
+    """With ``tol`` the lambda is the likelihood's own maximum, not a grid's, on several columns at once."""
+    rng = np.random.RandomState(3)
+    cols = {"a": rng.lognormal(0, 0.7, 500) - 0.5, "b": rng.normal(2, 3, 500), "c": -rng.lognormal(1, 0.4, 500),
+            "d": np.expm1(rng.normal(1, 0.3, 500))}
+    df = spark.createDataFrame([tuple(map(float, r)) + (4.0,) for r in zip(*cols.values())], "a double, b double, c double, d double, k double")
+    fitted = sc.fit_power(df, [*cols, "k"], tol=1e-8)
+    coarse = sc.fit_power(df, list(cols))
+    assert fitted["k"] == (1.0, 4.0, 1.0)
+
+    def transformed(x, lam):
+        a, m = np.log1p(np.abs(x)), np.where(x >= 0, lam, 2 - lam)
+        return np.where(x >= 0, 1, -1) * np.expm1(m * a) / m
+
+    for c, x in cols.items():
+        lam, mean, scale = fitted[c]
+
+        def llf(v, x=x):
+            return -len(x) / 2 * math.log(transformed(x, v).var()) + (v - 1) * np.sum(np.sign(x) * np.log1p(np.abs(x)))
+
+        # the vertex of the parabola around it is the lambda itself, and no point of a dense grid is likelier
+        h = 1e-3
+        low, mid, high = llf(lam - h), llf(lam), llf(lam + h)
+        assert abs(h * (low - high) / (2 * (low - 2 * mid + high))) < 1e-5
+        assert mid >= max(llf(coarse[c][0] + k * 1e-4) for k in range(-150, 151)) - 1e-9
+        assert abs(lam - coarse[c][0]) <= 0.01
+        t = transformed(x, lam)
+        assert abs(mean - t.mean()) < 1e-9 and abs(scale - t.std()) < 1e-9
+
+
+def test_power_terms_near_their_series(spark):
+    """Lambda 0 above zero and 2 below: transform and derivative agree with differences there."""
+    from pyspark.sql import functions as F
+    xs, h = (0.0, 0.5, 30.0, -0.5, -30.0), 1e-3
+    df = spark.createDataFrame([(x, lam) for x in xs for lam in (0.0, 1e-7, 2.0, 2 - 1e-7, 1.0)], "x double, lam double")
+    t, d = sc._power_terms(F.col("x"), F.col("lam"))
+    up, down = (sc._power_terms(F.col("x"), F.col("lam") + F.lit(s))[0] for s in (h, -h))
+    for r in df.select("x", "lam", t.alias("t"), d.alias("d"), ((up - down) / (2 * h)).alias("diff"),
+                       sc._yeo_johnson_lam_col(F.col("x"), F.col("lam")).alias("plain")).collect():
+        assert abs(r.d - r["diff"]) <= 2e-5 * max(1, abs(r.d)), r
+        assert abs(r.t - r.plain) <= 1e-5 * max(1, abs(r.t)), r
