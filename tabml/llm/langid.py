@@ -116,83 +116,100 @@ def declared_language(html: Column) -> Column:
     return F.nullif(F.lower(F.regexp_extract(html, r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})\b", 1)), F.lit(""))
 
 
+#: Columns that ``identify`` adds.
+JUDGED = ("lang_text", "language", "confidence", "evidence", "gain")
+
+
 def identify(records: DataFrame, langs: list[str], table: np.ndarray, temper: float = 60.0, weight: float = 20.0, trust: float = 0.5) -> DataFrame:
     """Adds ``lang_text`` (by text alone), ``language``, ``confidence``, ``evidence`` and ``gain`` to ``records``.
 
     ``records`` has the columns key, text, declared, suffix, domain, host (each may be
-    null; null evidence says nothing) and any others. ``temper``: a text counts as at most
+    null; null evidence says nothing) and any others; one named like an added column is
+    replaced by it. ``temper``: a text counts as at most
     so many independent trigrams. ``weight``: records that a group's parent counts as.
     ``evidence`` is the number of trigrams, ``gain`` how much likelier the best language makes
     one than chance does (natural logarithm; 0 without text). A null, empty or wordless text is judged by the
     rest. Without languages ``language`` is null and ``confidence`` 0. Repeated rows are
-    rows of their own.
+    rows of their own. Records may be those that taught ``table``: a declared language
+    then speaks twice, through the table and as evidence.
+
+    Work and plan grow with the number of languages, not its square; a language takes
+    256 kB of the driver and of each Python worker.
     """
     if not langs:
         return records.drop("text").withColumns({"lang_text": F.lit(None).cast("string"), "language": F.lit(None).cast("string"),
                                                  "confidence": F.lit(0.0), "evidence": F.lit(0).cast("long"), "gain": F.lit(0.0)})
-    n = len(langs)
+    n, spark = len(langs), records.sparkSession
     rest = [c for c in records.columns if c != "text"]
-    schema = T.StructType([*[records.schema[c] for c in rest], T.StructField("ll", T.ArrayType(T.DoubleType())), T.StructField("evidence", T.LongType())])
+    packed = records.select(F.struct(*rest).alias("rest"), "text")
+    numbers = T.ArrayType(T.DoubleType())
+    schema = T.StructType([packed.schema["rest"], T.StructField("ll", numbers), T.StructField("p", numbers), T.StructField("evidence", T.LongType())])
+    shared = spark.sparkContext.broadcast(table)
+
+    def lists(values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * n, pa.int32()), pa.array(values.ravel()))
 
     def score(batches):
+        table = shared.value
         for batch in batches:
             ll, evidence = np.zeros((batch.num_rows, n)), np.zeros(batch.num_rows, np.int64)
-            for at, k, codes, row, each in _slices(batch.column(len(rest))):
+            for at, k, codes, row, each in _slices(batch.column(1)):
                 evidence[at:at + k] = each
                 for i in range(n):
                     ll[at:at + k, i] = np.bincount(row, table[i][codes], k)
             ll *= (np.minimum(evidence, temper) / np.maximum(evidence, 1))[:, None]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(rest)], pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * n, pa.int32()), pa.array(ll.ravel())),
-                 pa.array(evidence)], names=schema.fieldNames())
+            p = np.exp(ll - ll.max(axis=1, keepdims=True, initial=-np.inf)) * (evidence > 0)[:, None]
+            p /= np.maximum(p.sum(axis=1, keepdims=True), 1e-300)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists(ll), lists(p), pa.array(evidence)], names=schema.fieldNames())
         pa.default_memory_pool().release_unused()
 
-    rows = stored(records.select(*rest, "text").mapInArrow(score, schema), "language-scores")
-    l = [F.get("ll", F.lit(i)) for i in range(n)]  # noqa: E741
-    top = F.greatest(*l) if n > 1 else l[0]
-    shares = [F.exp(x - top) for x in l]
-    total = sum(shares[1:], shares[0])
-    rows = rows.withColumns({f"p{i}": F.when(F.col("evidence") > 0, s / total).otherwise(F.lit(0.0)) for i, s in enumerate(shares)})
-
-    def sums(keys: list[str], name: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(*[F.sum(f"p{i}").alias(f"{name}{i}") for i in range(n)])
-
-    for name, key in (("host_", "host"), ("domain_", "domain"), ("suffix_", "suffix"), ("declared_", "declared")):
-        group = sums([key], name).where(F.col(key).isNotNull())
-        rows = rows.join(stored(group, name + "sums"), key, "left")
-    whole = sums([], "all_").first()  # one number for each language
-    whole = [float(whole[i] or 0.0) for i in range(n)]
-    mass = sum(whole)
-    prior = [F.lit((whole[i] + 1.0) / (mass + n)) for i in range(n)]
-    for name in ("suffix_", "domain_", "host_"):
-        # the group's sums without the record's own share
-        own = [F.greatest(F.coalesce(F.col(f"{name}{i}") - F.col(f"p{i}"), F.lit(0.0)), F.lit(0.0)) for i in range(n)]
-        size = sum(own[1:], own[0])
-        rows = rows.withColumns({f"prior_{name}{i}": (own[i] + weight * prior[i]) / (size + weight) for i in range(n)})
-        prior = [F.col(f"prior_{name}{i}") for i in range(n)]
-    values = {}
-    for i in range(n):
-        # how often texts of the language go with what is declared, against how often any text does
-        said = F.greatest(F.coalesce(F.col(f"declared_{i}") - F.col(f"p{i}"), F.lit(0.0)), F.lit(0.0))
-        every = [F.greatest(F.col(f"declared_{j}") - F.col(f"p{j}"), F.lit(0.0)) for j in range(n)]
-        base = (sum(every[1:], every[0]) + 1.0) / (mass + 1.0)
-        likelihood = (said + weight * base * 0.5) / (whole[i] + weight * 0.5)
-        values[f"z{i}"] = l[i] + F.log(prior[i]) + F.when(F.col("declared").isNotNull(), trust * F.log(likelihood)).otherwise(F.lit(0.0))
-    rows = rows.withColumns(values)
-    z = [F.col(f"z{i}") for i in range(n)]
-    best = F.greatest(*z) if n > 1 else z[0]
-    odds = [F.exp(x - best) for x in z]
-
-    def name_of(scores: list[Column], top: Column) -> Column:
-        out = F.lit(langs[-1])
-        for i in reversed(range(n - 1)):
-            out = F.when(scores[i] == top, F.lit(langs[i])).otherwise(out)
-        return out
-
-    return rows.select(*rest, F.when(F.col("evidence") > 0, name_of(l, top)).alias("lang_text"), name_of(z, best).alias("language"),
-                       (F.lit(1.0) / sum(odds[1:], odds[0])).alias("confidence"), "evidence",
-                       F.when(F.col("evidence") > 0, top / F.least("evidence", F.lit(temper)) + float(np.log(BUCKETS)))
-                       .otherwise(F.lit(0.0)).alias("gain"))
+    rows = stored(packed.mapInArrow(score, schema), "language-scores")
+    shared.destroy()  # the scores are written
+    sums = F.array(*[F.coalesce(F.sum(F.get("p", F.lit(i))), F.lit(0.0)) for i in range(n)])
+    whole = np.array(rows.agg(sums.alias("sums")).first().sums)  # one number for each language
+
+    keys = ("suffix", "domain", "host", "declared")
+    joined = rows
+    for key in keys:
+        name = F.col("rest").getField(key)
+        group = rows.where(name.isNotNull()).groupBy(name.alias("of")).agg(sums.alias(key))
+        group = stored(group, f"{key}-sums")
+        joined = joined.join(group, name == group["of"], "left").drop("of")
+    joined = joined.withColumn("said", F.col("rest").getField("declared").isNotNull())
+    out = T.StructType([packed.schema["rest"], *[T.StructField(c, t) for c, t in zip(JUDGED, (
+        T.StringType(), T.StringType(), T.DoubleType(), T.LongType(), T.DoubleType()))]])
+
+    def others(column: pa.Array, p: np.ndarray) -> np.ndarray:
+        """A group's sums without the record's own share; 0 where the record has no group."""
+        found = np.zeros(p.shape)
+        known = column.is_valid().to_numpy(zero_copy_only=False)
+        found[known] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+        return np.maximum(found - p, 0.0) * known[:, None]
+
+    def fuse(batches):
+        mass, names = whole.sum(), pa.array(langs, pa.string())
+        for batch in batches:
+            ll, p = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, n) for c in (1, 2))
+            evidence = batch.column(3).to_numpy()
+            prior = (whole + 1.0) / (mass + n)
+            for c in (4, 5, 6):  # suffix, domain, host, each smoothed towards the one before
+                own = others(batch.column(c), p)
+                prior = (own + weight * prior) / (own.sum(axis=1, keepdims=True) + weight)
+            # how often texts of the language go with what is declared, against how often any text does
+            said = others(batch.column(7), p)
+            base = (said.sum(axis=1, keepdims=True) + 1.0) / (mass + 1.0)
+            likelihood = (said + weight * base * 0.5) / (whole + weight * 0.5)
+            z = ll + np.log(prior) + trust * np.log(likelihood) * batch.column(8).to_numpy(zero_copy_only=False)[:, None]
+            some = evidence > 0
+            by_text = pa.array(ll.argmax(axis=1), mask=~some)
+            odds = np.exp(z - z.max(axis=1, keepdims=True, initial=-np.inf)).sum(axis=1)
+            gain = np.where(some, ll.max(axis=1, initial=-np.inf) / np.clip(evidence, 1, temper) + np.log(BUCKETS), 0.0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), names.take(by_text), names.take(pa.array(z.argmax(axis=1))), pa.array(1.0 / odds),
+                 batch.column(3), pa.array(gain)], names=out.fieldNames())
+
+    judged = joined.select("rest", "ll", "p", "evidence", *keys, "said").mapInArrow(fuse, out)
+    return judged.select(*[F.col("rest").getField(c).alias(c) for c in rest if c not in JUDGED], *JUDGED)
 
 
 def accepted(confidence: float = 0.5) -> Column:

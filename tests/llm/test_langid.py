@@ -53,6 +53,67 @@ def test_fusion(make_docs):
     assert rows[205][0].accepted and rows[206][0].language == "en"
 
 
+def plain(data, langs, table, temper=60.0, weight=20.0, trust=0.5):
+    """(language, confidence, language by text) of rows (text, declared, suffix, domain, host), a language at a time."""
+    n, scored = len(langs), []
+    for text, *_ in data:
+        [(_, _, codes, _, _)] = langid._slices(langid.pa.array([text], langid.pa.string()))
+        ll = [sum(table[i][c] for c in codes) * min(len(codes), temper) / max(len(codes), 1) for i in range(n)]
+        share = [np.exp(x - max(ll)) for x in ll] if len(codes) else [0.0] * n
+        scored.append((ll, [x / (sum(share) or 1) for x in share], len(codes)))
+    whole = [sum(p[i] for _, p, _ in scored) for i in range(n)]
+    out = []
+    for r, row in enumerate(data):
+        ll, _, count = scored[r]
+
+        def group(c):
+            return [sum(scored[q][1][i] for q in range(len(data)) if q != r and row[c] is not None and data[q][c] == row[c]) for i in range(n)]
+
+        prior = [(w + 1) / (sum(whole) + n) for w in whole]
+        for c in (2, 3, 4):
+            own = group(c)
+            prior = [(own[i] + weight * prior[i]) / (sum(own) + weight) for i in range(n)]
+        said = group(1)
+        base = (sum(said) + 1) / (sum(whole) + 1)
+        z = [ll[i] + np.log(prior[i]) + (row[1] is not None) * trust * np.log((said[i] + weight * base / 2) / (whole[i] + weight / 2)) for i in range(n)]
+        best = int(np.argmax(z))
+        out.append((langs[best], 1 / sum(np.exp(x - z[best]) for x in z), langs[int(np.argmax(ll))] if count else None))
+    return out
+
+
+def test_fusion_matches_a_plain_one(spark, make_docs):
+    """All evidence at once, against sums written out; and languages by the dozen, names that clash, rows that repeat."""
+    rng = np.random.default_rng(5)
+    names = [f"l{i:02d}" for i in range(24)]
+    words = {g: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(30)] for g in names}
+    langs, table = langid.learn(make_docs([(i, " ".join(rng.choice(words[g], 60)), g, "h") for i, g in enumerate(names * 2)]), "text", "lang")
+    assert langs == names
+    data = []
+    for _ in range(90):
+        g, h = rng.choice(names, 2)
+        own = rng.choice(words[g], rng.integers(0, 4)).tolist() + rng.choice(words[h], rng.integers(0, 4)).tolist()
+        data.append((" ".join(own), rng.choice([g, "xx", None]), rng.choice(["de", "fr", None]), rng.choice(["a.de", "b.fr", None]), rng.choice(["x.a.de", "y.b.fr", None])))
+    data += [(None, None, None, None, None), ("", "l03", "de", "a.de", "x.a.de"), data[0], data[0]]
+    rows = [(i, *(None if v is None else str(v) for v in row)) for i, row in enumerate(data)]
+    records = spark.createDataFrame(rows, "i long, text string, declared string, suffix string, domain string, host string")
+    clashing = records.withColumns({c: F.lit(1) for c in ("ll", "p", "p0", "z0", "host_0", "rest", "said", "of", "evidence", "gain", "language")})
+    found = langid.identify(clashing, langs, table)
+    assert found.columns == [c for c in clashing.columns if c not in ("text", *langid.JUDGED)] + list(langid.JUDGED)
+    found = sorted(found.collect(), key=lambda r: r.i)
+    assert len(found) == len(data) and all(r.ll == r.p0 == r.rest == r.of == 1 for r in found)
+    for r, (language, confidence, by_text) in zip(found, plain([r[1:] for r in rows], langs, table)):
+        assert (r.language, r.lang_text) == (language, by_text) and abs(r.confidence - confidence) < 1e-9
+
+
+def test_rows_that_did_not_teach(spark, sf_tiny):
+    """Languages learned from even ids, judged on odd ones, with nothing declared."""
+    docs = spark.read.parquet(f"{sf_tiny}/documents.parquet").withColumn("fp", F.lit(1))
+    langs, table = langid.learn(docs.where("doc_id % 2 = 0"), "text", "lang")
+    asked = records(docs.where("doc_id % 2 = 1")).withColumn("declared", F.lit(None).cast("string"))
+    judged = langid.identify(asked, langs, table).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.language == r.lang for r in judged) >= 0.95 * len(judged)
+
+
 def test_own_text_is_no_evidence_for_its_host(make_docs):
     """A host's prior leaves the record itself out: alone on its host, a record gets its parents' prior."""
     langs, table = model(make_docs)
