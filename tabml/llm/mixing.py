@@ -9,7 +9,8 @@ slot j takes block P(j mod blocks) where P is the source's pseudorandom
 permutation for pass j div blocks. Slots and pieces of documents then meet in
 one join on (source, block), of which every key has few rows on either side.
 
-Only one row per source and per group of shards passes the driver.
+Only one row per source passes the driver. The shards' counts are drawn in tasks: the slots
+are halved again and again, and each half's counts follow from a seed of its own.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .store import stored
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one ordered run of a source's stream, about.
 RUN_DOCS = 2_000
+#: Sources (rows of about 100 bytes) that are broadcast; more are joined by a shuffle, each in SALTS copies.
+BROADCAST_SOURCES, SALTS = 100_000, 32
 #: Shards whose counts one task draws in order: at least so many, and no more groups than GROUPS.
 GROUP_SHARDS, GROUPS = 16, 4096
 
@@ -93,38 +96,54 @@ def permuted(index: np.ndarray, n: int, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def share(quota: np.ndarray, group: int, groups: int, group_slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of each source in one group of shards, and in all groups before it.
+
+    The groups are halved until one is left; the lower half's counts are a multinomial draw from
+    the whole's, seeded by the halves' bounds, so that every task finds the same without being told.
+    """
+    left, first, low, high, total = quota, np.zeros_like(quota), 0, groups, int(quota.sum())
+    while high - low > 1:
+        mid = (low + high) // 2
+        below = draw(np.random.default_rng([seed, 1, low, high]), left, min(mid * group_slots, total) - low * group_slots)
+        if group < mid:
+            left, high = below, mid
+        else:
+            left, first, low = left - below, first + below, mid
+    return left, first
+
+
 def _slots(spark, blocks: np.ndarray, quota: np.ndarray, shard_slots: int, seed: int) -> DataFrame:
     """``(shard, position, ix, pass, block)`` for all slots."""
     total = int(quota.sum())
-    group = shard_slots * max(GROUP_SHARDS, -(-total // (shard_slots * GROUPS)))
-    left, rng, rows, at = quota.copy(), np.random.default_rng([seed, 1]), [], 0
-    while at < total:
-        n = draw(rng, left, min(group, total - at))
-        rows.append((at // shard_slots, n.tolist(), (quota - left).tolist()))
-        left, at = left - n, at + group
-    keys = _mixed(np.arange(len(blocks), dtype=np.uint64) + np.uint64(seed << 32))
+    group = max(GROUP_SHARDS, -(-total // (shard_slots * GROUPS)))
+    groups = -(-total // (shard_slots * group))
+    # two numbers for each source
+    shared = spark.sparkContext.broadcast((blocks, quota))
 
     def run(frames):
+        blocks, quota = shared.value
+        keys = _mixed(np.arange(len(blocks), dtype=np.uint64) + np.uint64(seed << 32))
         for frame in frames:
-            for first_shard, quotas, firsts in frame.itertuples(index=False):
-                left, first = np.array(quotas), np.array(firsts)
-                shard = first_shard
+            for which in frame["id"]:
+                left, first = share(quota, int(which), groups, shard_slots * group, seed)
+                shard = int(which) * group
                 while left.any():
                     rng = np.random.default_rng([seed, 2, shard])
                     n = draw(rng, left, min(shard_slots, int(left.sum())))
                     place = rng.permutation(int(n.sum()))
                     ix = np.repeat(np.arange(len(n)), n)
                     turn, block = np.zeros(len(ix), np.int64), np.zeros(len(ix), np.int64)
+                    to = np.cumsum(n)
                     for s in np.flatnonzero(n):
                         j = first[s] + np.arange(n[s])
-                        mine = ix == s
+                        mine = slice(to[s] - n[s], to[s])
                         turn[mine] = j // blocks[s]
                         block[mine] = permuted(j % blocks[s], int(blocks[s]), _mixed(keys[s] + turn[mine].astype(np.uint64)))
                     yield pd.DataFrame({"shard": shard, "position": place, "ix": ix, "pass": turn, "block": block})
                     left, first, shard = left - n, first + n, shard + 1
 
-    groups = spark.createDataFrame(rows, "first_shard long, quotas array<long>, firsts array<long>")
-    return (groups.repartition(max(1, len(rows)), "first_shard")
+    return (spark.range(0, groups, 1, max(1, groups))
             .mapInPandas(run, "shard long, position long, ix int, pass long, block long"))
 
 
@@ -158,8 +177,13 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block:
         "ix int, source string, source_size long, target double, runs long")
 
     # a source's stream: runs by hash, in each run by hash; the runs' starts are a prefix sum over few rows
-    placed = (sized.join(F.broadcast(sources), sized.source.eqNullSafe(sources.source))
-              .drop(sources.source)
+    if len(found) <= BROADCAST_SOURCES:
+        known = sized.join(F.broadcast(sources), sized.source.eqNullSafe(sources.source)).drop(sources.source)
+    else:  # a source may hold a third of all rows
+        salted = sources.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        same = sized.source.eqNullSafe(salted.source) & (F.pmod(sized.row_hash, F.lit(SALTS)) == salted.salt)
+        known = sized.join(salted, same).drop(salted.source, salted.salt)
+    placed = (known
               .withColumn("key", F.xxhash64(F.lit(seed), "row_hash"))
               .withColumn("run", F.expr("pmod(shiftright(key, 24), runs)")))
     starts = (placed.groupBy("ix", "run").agg(F.sum("size").alias("n"))

@@ -86,6 +86,36 @@ def test_draw_keeps_to_what_is_left():
         left = left - n
 
 
+@pytest.mark.parametrize("groups", [1, 2, 3, 7, 64])
+def test_groups_share_all_slots(groups):
+    """What the groups of shards draw apart adds up: full groups but the last, every source's quota met, starts in order."""
+    rng = np.random.default_rng(groups)
+    quota = rng.integers(0, 400, 50) * (rng.random(50) < 0.6)
+    quota[7] = 12_000  # a hot source
+    slots = -(-int(quota.sum()) // groups)
+    groups = -(-int(quota.sum()) // slots)
+    before = np.zeros_like(quota)
+    for g in range(groups):
+        n, first = mixing.share(quota, g, groups, slots, 17)
+        assert (first == before).all() and (n >= 0).all()
+        assert n.sum() == (slots if g < groups - 1 else quota.sum() - slots * (groups - 1))
+        # each group holds the sources in about their proportion
+        assert abs(n[7] - n.sum() * quota[7] / quota.sum()) <= 6 * np.sqrt(n.sum()) + 1
+        before = before + n
+    assert (before == quota).all()
+
+
+def test_many_sources(make_docs, monkeypatch):
+    """More sources than are broadcast: the same result by a shuffle, a hot source and the null one among them."""
+    data = [(i, "w " * (5 + i % 40), "en", f"s{i % 300:03d}" if i % 3 else "s000" if i % 2 else None) for i in range(900)]
+    docs = make_docs(data)
+    key = lambda r: (r.doc_id, r.row_hash, r.dup)
+    small = sorted(mixing.mix(docs, block=4, shard_slots=64).documents.collect(), key=key)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 10)
+    mixed = mixing.mix(docs, block=4, shard_slots=64)
+    assert sorted(check(None, [(d[0], d[1], d[3]) for d in data], mixed, block=4), key=key) == small
+
+
 def test_mixed_texts(make_docs):
     data = [(i, " ".join(f"d{i}w{j}" for j in range(40 + 7 * i)), "fr", f"s{i % 4}") for i in range(30)] + [(3, "", "en", "s1"), (4, None, "en", "s1")]
     docs = make_docs(data)
