@@ -40,8 +40,8 @@ class Mix:
     """``documents``: a row per input row (row_hash, dup, doc_id, source, size, source_size, target, taken).
 
     ``pieces``: a row per slot and document in its block (shard, position, source,
-    pass, block, row_hash, dup, doc_id, start, n_words): words ``start`` up to
-    ``start + n_words`` of the document, in the order of the block.
+    pass, block, at, row_hash, dup, doc_id, start, n_words): words ``start`` up to
+    ``start + n_words`` of the document, from word ``at`` of the block on.
     """
 
     documents: DataFrame
@@ -199,7 +199,8 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block:
              .withColumn("block", F.explode(F.expr(f"sequence(begin div {block}, (begin + size - 1) div {block})")))
              .withColumn("start", F.greatest(F.col("block") * block - F.col("begin"), F.lit(0)))
              .withColumn("n_words", F.least(F.col("size"), (F.col("block") + 1) * block - F.col("begin")) - F.col("start"))
-             .select("ix", "block", "source", "row_hash", "dup", "doc_id", "begin", "start", "n_words"))
+             .withColumn("at", F.greatest(F.col("begin") - F.col("block") * block, F.lit(0)))
+             .select("ix", "block", "source", "row_hash", "dup", "doc_id", "begin", "at", "start", "n_words"))
     # the few rows that the slots are drawn from mislead the planner's estimate of their size, so it is told not to broadcast them
     slots = _slots(spark, blocks, quota, shard_slots, seed).hint("merge")
     pieces = slots.join(spans, ["ix", "block"])
@@ -207,7 +208,17 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), limit: float = 3.0, block:
     rows = (placed.join(taken.withColumn("some", F.lit(1)), ["ix", "begin"], "left")
             .select("row_hash", "dup", "doc_id", "source", "size", "source_size", "target",
                     F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken")))
-    return Mix(rows, pieces.select("shard", "position", "source", "pass", "block", "row_hash", "dup", "doc_id", "start", "n_words"))
+    return Mix(rows, pieces.select("shard", "position", "source", "pass", "block", "at", "row_hash", "dup", "doc_id", "start", "n_words"))
+
+
+def _with_takes(docs: DataFrame, takes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(text, takes, rest)`` for the rows of ``docs`` that ``takes`` (key_hash, key_dup, takes) names."""
+    rest = [c for c in docs.columns if c != text_col]
+    plain = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                        F.struct(*rest).alias("rest"))
+    plain = plain.withColumn("number", F.row_number().over(W.partitionBy("key").orderBy("id")))
+    return (plain.join(takes, (plain.key == takes.key_hash) & (plain.number == takes.key_dup))
+            .select("text", "takes", "rest"))
 
 
 def mixed_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -219,12 +230,7 @@ def mixed_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: s
     takes = (mixed.pieces.groupBy("row_hash", "dup", "pass").agg(F.collect_list(F.struct("start", "n_words")).alias("spans"))
              .groupBy("row_hash", "dup").agg(F.collect_list(F.struct("pass", "spans")).alias("takes"))
              .withColumnsRenamed({"row_hash": "key_hash", "dup": "key_dup"}))
-    rest = [c for c in docs.columns if c != text_col]
-    plain = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                        F.struct(*rest).alias("rest"))
-    plain = plain.withColumn("number", F.row_number().over(W.partitionBy("key").orderBy("id")))
-    joined = (plain.join(takes, (plain.key == takes.key_hash) & (plain.number == takes.key_dup))
-              .select("text", "takes", "rest"))
+    joined = _with_takes(docs, takes, id_col, text_col)
 
     def cut(batches):
         import re
@@ -250,3 +256,43 @@ def mixed_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: s
     schema = joined.select("text", "rest").schema
     out = joined.mapInArrow(cut, schema)
     return out.select(*[F.col("text").alias(text_col) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
+def shard_texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The mix as it stands in its shards: rows of ``docs`` with a part of their text each, partitioned by shard and in
+    the order of its slots.
+
+    A row is a run of a document's words that lie next to each other both in the document and in the
+    shard, with the white space between them; words on either side of a block that is not there are rows
+    of their own. Rows of which nothing is taken are gone. Columns are those of ``docs``.
+    """
+    takes = (mixed.pieces.groupBy(F.col("row_hash").alias("key_hash"), F.col("dup").alias("key_dup"))
+             .agg(F.collect_list(F.struct("shard", "position", "at", "start", "n_words")).alias("takes")))
+    joined = _with_takes(docs, takes, id_col, text_col)
+
+    def cut(batches):
+        import re
+
+        import pyarrow as pa
+
+        word = re.compile(WORD)
+        for batch in (b.slice(low, 200) for b in batches for low in range(0, b.num_rows, 200)):
+            own, rows = [], []
+            for i, (text, pieces) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                spans = [m.span() for m in word.finditer(text)]
+                runs: list[list[int]] = []  # shard, first slot, place in it, first word, end, last slot
+                for p in sorted(pieces, key=lambda p: (p["shard"], p["position"])):
+                    shard, slot, start = p["shard"], p["position"], p["start"]
+                    if runs and (runs[-1][0], runs[-1][5] + 1, runs[-1][4]) == (shard, slot, start):
+                        runs[-1][4:] = [start + p["n_words"], slot]
+                    else:
+                        runs.append([shard, slot, p["at"], start, start + p["n_words"], slot])
+                own += [i] * len(runs)
+                rows += [(shard, slot, at, text[spans[a][0]:spans[b - 1][1]]) for shard, slot, at, a, b, _ in runs]
+            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(2).take(pa.array(own, pa.int32()))],
+                                             names=["shard", "position", "at", "text", "rest"])
+
+    schema = joined.select(*[F.lit(0).cast("long").alias(c) for c in ("shard", "position", "at")], "text", "rest").schema
+    out = joined.mapInArrow(cut, schema).repartition("shard").sortWithinPartitions("shard", "position", "at")
+    return out.select(*[F.col("text").alias(text_col) if c == text_col else F.col("rest").getField(c).alias(c) for c in docs.columns])

@@ -134,7 +134,38 @@ def test_mixed_texts(make_docs):
     assert +got == +want
 
 
+def test_shard_texts(make_docs):
+    """The shards' words, slot by slot, are those that the pieces name, and each row is a passage of its document."""
+    data = [(i, " \n".join(f"d{i}w{j}" for j in range(40 + 7 * i)), "fr", f"s{i % 4}") for i in range(30)] + [
+        (3, "", "en", "s1"), (4, None, "en", "s1"), (5, "one two three", "en", None), (5, "one two three", "en", None)]
+    docs = make_docs(data)
+    mixed = mixing.mix(docs, block=16, shard_slots=32)
+    rows = mixing.shard_texts(docs, mixed)
+    assert rows.columns == docs.columns
+    whole = defaultdict(list)
+    for i, t, *_ in data:
+        whole[i].append(t or "")
+    want, total = defaultdict(list), 0
+    for p in sorted(mixed.pieces.collect(), key=lambda p: (p.shard, p.position, p.at)):
+        if p.doc_id != 5:
+            want[p.shard] += [f"d{p.doc_id}w{j}" for j in range(p.start, p.start + p.n_words)]
+        total += p.n_words
+    got = []
+    for part in rows.rdd.glom().collect():
+        got.append([w for r in part if r.doc_id != 5 for w in words(r.text)])
+        assert all(any(r.text in t for t in whole[r.doc_id]) and r.text for r in part)
+    # a partition holds whole shards, in order
+    for part in got:
+        for shard in sorted(want):
+            if part[:len(want[shard])] == want[shard] and want[shard]:
+                part = part[len(want[shard]):]
+                del want[shard]
+        assert part == []
+    assert not any(want.values())
+    assert sum(len(words(r.text)) for r in rows.collect()) == total == sum(r.taken for r in mixed.documents.collect())
+
+
 def test_empty_table(make_docs):
     docs = make_docs([(1, "x")]).where("false")
     mixed = mixing.mix(docs)
-    assert mixed.documents.count() == 0 and mixed.pieces.count() == 0 and mixing.mixed_texts(docs, mixed).count() == 0
+    assert mixed.documents.count() == 0 and mixed.pieces.count() == 0 and mixing.mixed_texts(docs, mixed).count() == mixing.shard_texts(docs, mixed).count() == 0
