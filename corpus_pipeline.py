@@ -67,9 +67,10 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What a mix with the sources weighing 5, 2, 1 in turn takes of the documents; a row for each pass over one."""
+    """A mix with the sources weighing 5, 2, 1 in turn, in the order of its shards: blocks of 1,024 words, a row for
+    each passage of a document in one."""
     small_batches(spark)
-    rows = mixing.mixed_texts(docs, mixing.mix(docs))
+    rows = mixing.shard_texts(docs, mixing.mix(docs, block=1024, shard_slots=1024))
     return rows.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
