@@ -204,3 +204,22 @@ def test_held_tables_go_with_the_result(spark, sf_small):
     del b2
     gc.collect()
     assert cache.release() == 1 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_learners_judge_permuted_rows_in_one_pass(spark):
+    """Fitted learners give the importances that their predictions on the copies give."""
+    from tabml.fits import learners as fl
+    from tabml.fits.ensembles import fit_boosted
+    from tabml.fits.frame import Part, training_frame
+    from tabml.operators.split import permuted_copies, permuted_pairs
+    from tabml.plans.ml_frame import assemble
+    rows = [(f"r{i}", float(i % 17), float(i * 7 % 29), i % 17 > 8 if i % 5 else i % 2 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, a double, b double, y boolean").selectExpr("id", "a", "b", "cast(y as double) as label")
+    with training_frame(assemble(df, ["a", "b"])) as frame:
+        model = fl.FittedModel(fit_boosted(frame, [(Part(), {"n_estimators": 3, "max_depth": 2})])[0], 2)
+    assert permuted_pairs(df, ["a", "b"], 3).count() == 900
+    got = {r.feature: r.importance for r in tr.permutation_importances({"m": model}, df, ["a", "b"], 3).collect()}
+    scored = model.transform(assemble(permuted_copies(df, ["a", "b"], 3), ["a", "b"]))
+    base = model.transform(assemble(df, ["a", "b"])).where("label = prediction").count() / 300
+    right = {r.feature: r["count"] / 900 for r in scored.where("label = prediction").groupBy("feature").count().collect()}
+    assert set(got) == {"a", "b"} and all(abs(got[f] - (base - right[f])) < 1e-12 for f in got)
