@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tabml.llm import queries
 from tabml.llm import suffix_refine as sr
 
 
@@ -62,6 +63,34 @@ def test_whole_table(spark, sf_tiny):
     check(sr.remove_repeats(docs, 400), [tuple(r) for r in docs.select("doc_id", "text").collect()], 400)
 
 
+def test_query_counts_bytes_not_words(make_docs, spark, tmp_path):
+    """Shared passages of over 50 words go from 400 bytes on, and stay below; the query's columns say so."""
+    rng = random.Random(3)
+
+    def passage(words, size, letters="abcdefgh"):
+        text = " ".join("".join(rng.choice(letters) for _ in range(9)) for _ in range(words))
+        while len(text.encode()) > size:  # shorten words, keep their number
+            at = rng.choice([i for i in range(1, len(text)) if text[i] != " " and text[i - 1] != " "])
+            text = text[:at] + text[at + 1:]
+        return text
+
+    passages = {"under": passage(60, 399), "at": passage(60, 400), "wide": passage(55, 400, "äöüß"), "one": passage(45, 449).replace(" ", "")}
+    assert [len(p.split()) for p in passages.values()] == [60, 60, 55, 1]
+    sizes = {k: len(p.encode()) for k, p in passages.items()}
+    assert list(sizes.values()) == [399, 400, 400, 405]
+    # the bytes beside a passage differ between its two places, so that nothing longer is shared
+    data = [(10 * n + k, f"{k}{n} start {'AB'[k]}{p}{'CD'[k]} end {k}{n}")
+            for n, p in enumerate(passages.values()) for k in (0, 1)]
+    data += [(100, None), (101, "alone")]
+    make_docs(data).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op7_suffix_dedup(spark, str(tmp_path)).collect()}
+    want = dict(zip((i for i, _ in data), plain([t for _, t in data], 400)))
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == {
+        i: (n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest()) for i, (n, spans, kept) in want.items()}
+    for n, (name, size) in enumerate(sizes.items()):
+        assert [got[10 * n + k].n_removed for k in (0, 1)] == [size if size >= 400 else 0] * 2, name
+
+
 def test_empty_table(make_docs):
     assert sr.remove_repeats(make_docs([(1, "x")]).where("false")).count() == 0
 
