@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tabml.plans import models as md
@@ -154,6 +155,24 @@ def test_queries_run_all_learners_sizes_and_folds(spark, sf_small, monkeypatch):
     assert svm.getOrDefault(svm.plattFolds) > 1 and svm.getOrDefault(svm.numFeatures) == 64
 
 
+def test_the_loop_searches_the_grids_of_the_reference(spark, sf_small, monkeypatch):
+    """``train_and_evaluate`` asks for the batch pipeline's grids and steps, not for cheap values in their place."""
+    from tabml import catalog
+
+    asked = []
+
+    def loop(spark_, data, p, names=None, search=True, parallelism=1):
+        asked.append(p)
+        raise InterruptedError
+
+    monkeypatch.setattr(tr, "train_and_evaluate", loop)
+    with pytest.raises(InterruptedError):
+        catalog.QUERIES["train_and_evaluate"](spark, sf_small)
+    full = {s.name: s for s in md.preset("full").specs}
+    assert {s.name: s.grid for s in asked[0].specs} == md.FULL_GRIDS
+    assert all(s.learner.defaults == full[s.name].learner.defaults for s in asked[0].specs)
+
+
 def test_permutation_importance_of_four_learners(spark, sf_small):
     from tabml import catalog
 
