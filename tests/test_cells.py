@@ -64,6 +64,33 @@ def test_cells_are_made_for_trees_only_and_shuffle_nothing(data):
     assert not frame.made
 
 
+def test_more_tasks_make_no_more_cells(spark, data):
+    """A cell lies in one task, but for those that a task's range cuts; a frequent one is cut into several tasks."""
+    with fr.training_frame(data, 3) as frame:
+        tasks, cells = frame.blocks.rdd.getNumPartitions(), blocks_of(frame.cells)
+        assert tasks > 2 and sum(c.c for c in cells) <= 12 + tasks - 1
+    one = data.withColumn("features", array_to_vector(F.array(F.lit(1.0), F.lit(2.0))))
+    with fr.training_frame(one, 3) as frame:
+        cells = blocks_of(frame.cells)
+        assert sum(c.n for c in cells) == 600 and max(c.n for c in cells) < 300
+
+
+def test_trees_that_draw_alike_are_summed_once_a_block(data, monkeypatch):
+    made = []
+    monkeypatch.setattr(fr.Cells, "sums", lambda rows, weight, own=fr.Cells.sums: made.append(1) or own(rows, weight))
+    with fr.training_frame(data, 3) as frame:
+        block = blocks_of(frame.cells)[0]
+        jobs = [(fr.Part().without(0, f), True) for f in (0, 1)] * 4   # four candidates of two folds, three trees each
+        owner = [j for j in range(8) for _ in range(3)]
+        source = ensembles.ForestSource(frame.edges, jobs, owner, [100 + i for _ in range(8) for i in range(3)])
+        for e in sorted(range(24), key=source.order):
+            a = source.of(block, e)
+            weight = block.member(jobs[owner[e]][0]) * np.searchsorted(ensembles.POISSON, block.uniform(source.seeds[e]), "right")
+            want = np.bincount(block.cell, weight, block.c)
+            assert a is None and not want.any() or np.array_equal(a[1], want[want > 0])
+    assert len(made) == 6
+
+
 def test_streams_are_averaged_as_tasks_are(data):
     with fr.training_frame(data) as frame:
         rows = max(blocks_of(frame.blocks), key=lambda r: r.n)
