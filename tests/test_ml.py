@@ -242,3 +242,35 @@ def test_learners_judge_permuted_rows_in_one_pass(spark):
     base = model.transform(assemble(df, ["a", "b"])).where("label = prediction").count() / 300
     right = {r.feature: r["count"] / 900 for r in scored.where("label = prediction").groupBy("feature").count().collect()}
     assert set(got) == {"a", "b"} and all(abs(got[f] - (base - right[f])) < 1e-12 for f in got)
+
+
+@pytest.mark.parametrize("stretch", [1 << 17, 64, 7])
+def test_a_repeat_meets_its_values_in_one_shuffle(spark, monkeypatch, stretch):
+    """The pairs of rows and permuted values are those of ``permuted_pairs``, whatever stretches the ranks are cut into."""
+    from tabml.operators.split import permuted_pairs
+    import pyarrow as pa
+
+    monkeypatch.setattr(tr, "MEET_ROWS", stretch)
+    rows = [(f"r{i}" if i % 10 else None, float(i), float(i * 7 % 301), float(i % 2) if i % 9 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, x0 double, x1 double, label double")
+    pairs = permuted_pairs(df, ["x0", "x1"], 3, seed=5).select("repeat", "label", "x0", "x1", "__pv0", "__pv1").collect()
+    assert len(pairs) == 3 * 270
+
+    def give(label, x, moved):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (label, *x.T, *moved.T)], names=["label", "x0", "x1", "m0", "m1"])
+
+    for repeat in range(3):
+        met = tr._met(df, 2, repeat, 5)(give, "label double, x0 double, x1 double, m0 double, m1 double")
+        got = [tuple(-1.0 if v != v else v for v in r) for r in met.collect()]
+        assert sorted(got) == sorted(tuple(-1.0 if v is None else v for v in r[1:]) for r in pairs if r.repeat == repeat)
+        plan = met._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Exchange") == 1 and "Window" not in plan
+    assert tr._met(df.where("id is null"), 2, 0, 5) is None
+
+
+def test_permutations_leave_no_shuffle_files(spark):
+    before = spark.conf.get(tr.CLEANUP)
+    with pytest.raises(ZeroDivisionError), tr._shuffles_freed(spark):
+        assert spark.conf.get(tr.CLEANUP) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(tr.CLEANUP) == before
