@@ -110,6 +110,26 @@ def test_streams_are_averaged_as_tasks_are(data):
     assert not epoch([], 4).any()
 
 
+def test_streams_of_networks_are_averaged_as_tasks_are(data):
+    with fr.training_frame(data) as frame:
+        rows = max(blocks_of(frame.blocks), key=lambda r: r.n)
+    some = [rows.take(own) for own in np.split(np.arange(rows.n), [rows.n // 4, rows.n - 3])]
+    shape, size = (2, 3, 1), 2 * 3 + 3 + 3 + 1
+    v = np.concatenate([np.random.default_rng(5).standard_normal((2, size)), np.zeros((2, 2 * size))], axis=1)
+    group = dict(design=gradient.Design(), shape=shape, batch=8, parts=[fr.Part(), fr.Part().without(1, 0)], early=np.array([True, False]),
+                 alpha=np.array([0.01, 0.1]), rate=np.array([0.05, 0.01]), v=v, t=np.zeros(2))
+
+    def epoch(rows, streams):
+        task = gradient.MlpEpoch(([group], 5 + 3 * size, streams))
+        for r in rows:
+            task.see(r)
+        return task.result()
+
+    assert np.allclose(epoch(some, len(some)), sum(epoch([r], 1) for r in some))
+    assert np.allclose(epoch(some * 2, 4 * len(some)), sum(epoch([r], 1) for r in some * 2))
+    assert not epoch([], 4).any()
+
+
 def test_cosines_are_cosines():
     rng = np.random.default_rng(0)
     x, w, b = rng.standard_normal((300, 3)) * 5, rng.standard_normal((3, 17)), rng.uniform(0, 6, 17)
